@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracklore.llm.addresses import address_pairs
 from tracklore.llm.names import name_pairs
 from tracklore.session import table
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of company rows of different track ends at one street location."""
+    return address_pairs(table(spark, sf_dir, "companies"), "row_id", "osm_way_id")
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of company rows of one organisation under different spellings."""
     return name_pairs(table(spark, sf_dir, "companies"), "row_id", "company_name", "osm_way_id")
 
 
-QUERIES = {"p3_found": p3_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
 ORACLE: dict = {}

@@ -153,3 +153,229 @@ def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
         lo, hi = sorted((k, other))
         proper[lo : hi + 1] = [proper[lo] + proper[hi]]
     return proper, sorted(set(trades)), given
+
+
+#: Street types and their forms (fixed values: postal street suffixes).
+STREET_TYPES = {
+    "ave": "ave av avenue aven avn",
+    "blvd": "blvd boulevard boul bvd blv",
+    "cir": "cir circle",
+    "ct": "ct court crt cort",
+    "dr": "dr drive drv driv",
+    "hwy": "hwy highway hiway",
+    "ln": "ln lane la",
+    "loop": "loop",
+    "pkwy": "pkwy parkway pky pkway",
+    "pl": "pl place",
+    "rd": "rd road",
+    "sq": "sq square",
+    "st": "st street str strt",
+    "ter": "ter terrace terr",
+    "trl": "trl trail",
+    "way": "way wy",
+}
+_TYPE = {f: k for k, v in STREET_TYPES.items() for f in v.split()}
+_DIR = {"n": "n", "north": "n", "no": "n", "s": "s", "south": "s", "so": "s", "e": "e", "east": "e", "w": "w", "west": "w", "ne": "ne", "nw": "nw", "se": "se", "sw": "sw"}
+#: States with their usual short forms (fixed values).
+STATE_FORMS = {
+    "AL": "alabama ala", "AK": "alaska", "AZ": "arizona ariz", "AR": "arkansas ark", "CA": "california calif cal", "CO": "colorado colo", "CT": "connecticut conn",
+    "DE": "delaware del", "FL": "florida fla", "GA": "georgia", "HI": "hawaii", "ID": "idaho ida", "IL": "illinois ill ills", "IN": "indiana ind", "IA": "iowa", "KS": "kansas kans kan",
+    "KY": "kentucky ken kent", "LA": "louisiana", "ME": "maine", "MD": "maryland", "MA": "massachusetts mass", "MI": "michigan mich", "MN": "minnesota minn", "MS": "mississippi miss",
+    "MO": "missouri", "MT": "montana mont", "NE": "nebraska nebr neb", "NV": "nevada nev", "NH": "newhampshire", "NJ": "newjersey", "NM": "newmexico nmex", "NY": "newyork",
+    "NC": "northcarolina ncar ncarolina nocar nocarolina", "ND": "northdakota ndak ndakota nodak nodakota", "OH": "ohio o", "OK": "oklahoma okla", "OR": "oregon oreg ore",
+    "PA": "pennsylvania penn penna", "RI": "rhodeisland", "SC": "southcarolina scar scarolina socar socarolina", "SD": "southdakota sdak sdakota sodak sodakota",
+    "TN": "tennessee tenn", "TX": "texas tex", "UT": "utah", "VT": "vermont", "VA": "virginia virg", "WA": "washington wash", "WV": "westvirginia wva wvirginia", "WI": "wisconsin wis wisc", "WY": "wyoming wyo",
+}
+_STATE = {f: k for k, v in STATE_FORMS.items() for f in [*v.split(), k.lower()]}
+_UNITS = ["", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"]
+_ORDINAL = dict(zip("first second third fourth fifth sixth seventh eighth ninth".split(), range(1, 10), strict=True))
+_TEENS = "tenth eleventh twelfth thirteenth fourteenth fifteenth sixteenth seventeenth eighteenth nineteenth".split()
+_TENS = dict(zip("twenty thirty forty fifty sixty seventy eighty ninety".split(), range(20, 100, 10), strict=True))
+_ORDINAL |= {w: i for i, w in enumerate(_TEENS, 10)} | {w[:-1] + "ieth": n for w, n in _TENS.items()}
+#: Values that stand for nothing known (fixed values).
+PLACEHOLDERS = frozenset(
+    "na n/a none null nan nil unknown unk tbd tba tbc notgiven notknown notavailable notprovided notapplicable notspecified unspecified seenotes seeremarks missing blank empty test xxx undefined pending".split()
+)
+
+
+def is_placeholder(text: str | None) -> bool:
+    """True for null, blank, a dash or question marks, zeros, or a word that stands for nothing."""
+    if text is None:
+        return True
+    s = re.sub(r"[\s._-]+", "", fold(text))
+    return not re.search(r"[a-z0-9]", s) or s in PLACEHOLDERS or set(s) <= {"0"}
+
+
+def state_of(text: str | None) -> str:
+    """Two letters of a state written exactly or in a usual short form, else ''."""
+    if not text:
+        return ""
+    s = re.sub(r"\(.*?\)", " ", fold(text))
+    s = re.sub(r"\b\d{4,}(-\d*)?\b|\bu\.?\s?s\.?(\s?a\.?)?\b|\bstate of\b|\bcommonw\w*\.? of\b", " ", s)
+    whole = re.sub(r"[^a-z]", "", s)
+    if whole in _STATE:
+        return _STATE[whole]
+    for part in re.split(r"\s-\s|,", s):
+        if (p := re.sub(r"[^a-z]", "", part)) in _STATE:
+            return _STATE[p]
+    return ""
+
+
+def zip_of(text: str | None) -> str:
+    """Five digits of a postal code written with a state, a suffix or as a decimal number; '' if none."""
+    if not text:
+        return ""
+    s = re.sub(r"\.0+$", "", text.strip())
+    m = re.search(r"(?<!\d)(\d{4,5})(?:-\d{4})?(?!\d)", s)
+    z = m[1].zfill(5) if m else ""
+    return "" if z in ("", "00000", "99999") else z
+
+
+def town_of(text: str | None) -> str:
+    """A town's bare name: lower case letters, without 'city of', 'twp' and the like; '' for placeholders."""
+    if is_placeholder(text):
+        return ""
+    s = re.sub(r"\(.*?\)|\bcity of\b|\btown of\b|\b(twp|township)\b\.?|,.*$", " ", fold(text or ""))
+    return re.sub(r"[^a-z]", "", s)
+
+
+def _ordinal(words: list[str]) -> tuple[str, int] | None:
+    """A numbered street at the start: (its number, words taken)."""
+    w = words[0]
+    if m := re.fullmatch(r"(\d{1,3})(st|nd|rd|th)?", w):
+        return m[1], 1
+    if w in _ORDINAL:
+        return str(_ORDINAL[w]), 1
+    if w in _TENS and len(words) > 1 and 0 < _ORDINAL.get(words[1], 0) < 10:
+        return str(_TENS[w] + _ORDINAL[words[1]]), 2
+    return None
+
+
+_DROP = re.compile(
+    r"\([^)]*\)|\bp\.?\s*o\.?\s*box\s*\d+|\bc/o\s+\w+(?:\s+(?:dept|department|office|desk)\b\.?)?|\battn\b:?\s+\w+(?:\s+(?:dept|department|office|desk)\b\.?)?|\b(?:dock|door|gate|unit|suite|ste|bldg|building|apt|room|rm|floor|lot|bay|track)\b\.?\s*#?\s*(?:\d+[a-z]?|[a-z])\b"
+    r"|\b(?:rear|front|upper|lower)\s+(?:bldg|building|unit|lot)\b\.?|\bnear the [a-z ]+"
+)
+
+
+def parse_address(text: str | None) -> dict | None:
+    """Parts of a typed postal address, or None where it names no street and number.
+
+    number, name (street name without blanks), kind (street type or ''), side
+    (direction or ''), and town, state, zip as far as the address itself has them.
+    """
+    if is_placeholder(text):
+        return None
+    s = fold(unicodedata.normalize("NFKC", text or ""))
+    s = re.sub(r"\s+", " ", s)
+    s = _DROP.sub(" , ", s)
+    s = re.sub(r",?\s*\bu\.?\s?s\.?\s?a\.?\s*$", "", s)
+    tail_zip = tail_town = ""
+    if m := re.search(r";\s*(\d{4,5})(?:-\d{4})?\s+([a-z .']+)$", s):
+        tail_zip, tail_town, s = m[1].zfill(5), re.sub(r"[^a-z]", "", m[2]), s[: m.start()]
+    s = re.sub(r"\b(?:county\s+road|(?:county|cnty|cty|co)\.?\s*rd\.?|c\.?\s?r\.?)[\s-]*(\d+)", r" countyroad\1 ", s)
+    s = re.sub(r"\b(?:(?:state|u\.?\s?s\.?)\s+)?(?:highway|hwy|route|rte|rt)\b\.?[\s-]*(\d+)|\bu\.?\s?s\.?[\s-]+(\d+)", lambda m: f" highway{m[1] or m[2]} ", s)
+    s = s.replace(";", ",")
+    parts = [p for p in (re.sub(r"[^a-z0-9#' -]", " ", p.replace(".", " ")).split() for p in s.split(",")) if p]
+    # The postal code and the state come off the end, or the state off the start
+    zip5 = tail_zip
+    state = ""
+    if parts and (m := re.fullmatch(r"(\d{5})(-\d{4})?", parts[-1][-1])) and (len(parts) > 1 or len(parts[0]) > 4):
+        zip5 = zip5 or m[1]
+        parts[-1].pop()
+    parts = [p for p in parts if p]
+    flat = [(i, w) for i, p in enumerate(parts) for w in p]
+
+    def strip_state(words: list[tuple[int, str]]) -> tuple[list[tuple[int, str]], str]:
+        for end in () if tail_zip else (True, False):
+            for k in (3, 2, 1):
+                part = words[-k:] if end else words[:k]
+                # a lone letter or 'la' is a state only in a part of its own or beside a code
+                joined = "".join(w for _, w in part)
+                if joined in _TYPE and part[0][0] == words[-k - 1 if len(words) > k else 0][0] and not any(w in _TYPE for _, w in words[:-k]):
+                    continue  # the type of the street, as no other word is
+                if len(words) > k and joined in _STATE and (len(joined) > 2 or end and (zip5 or part[0][0] != words[-k - 1][0] or len(joined) == 2 and joined not in _TYPE and joined not in _DIR)):
+                    if not end and part[-1][0] == words[k][0] and len(part) == 1 and len(joined) < 4:
+                        continue
+                    return (words[:-k] if end else words[k:]), _STATE[joined]
+        return words, ""
+
+    flat, state = strip_state(flat)
+    # The house number: a number that is no part of a numbered street
+    number, at = "", -1
+    for i, (_, w) in enumerate(flat):
+        bare = w.lstrip("#")
+        if re.fullmatch(r"\d{1,6}", bare):
+            nxt = flat[i + 1][1] if i + 1 < len(flat) else ""
+            if nxt in _TYPE and any(re.fullmatch(r"#?\d{1,6}", x) for j, (_, x) in enumerate(flat) if j != i):
+                continue  # the number of a numbered street
+            number, at = bare.lstrip("0") or "0", i
+            break
+    if not number:
+        return None
+    part_of = flat[at][0]
+    words = [(p, w) for i, (p, w) in enumerate(flat) if i != at and w not in ("no", "number", "#")]
+    # Group by part; the street is the part with a street type or direction, else the number's own part
+    groups: dict[int, list[str]] = {}
+    for p, w in words:
+        groups.setdefault(p, []).append(w)
+    order = sorted(groups)
+
+    def streetness(p: int) -> tuple:
+        g = groups[p]
+        typed = len(g) > 1 and (g[-1] in _TYPE or any(w in _TYPE for w in g[1:])) or any(re.match(r"(countyroad|highway)\d", w) for w in g)
+        sided = len(g) > 1 and (g[0] in _DIR or g[-1] in _DIR)
+        return (typed, sided, p == part_of, p == part_of + 1, p == part_of - 1)
+
+    if not order:
+        return None
+    street = max(order, key=streetness)
+    g = groups.pop(street)
+    side = kind = ""
+    # without commas a town may stand before the number, or before a direction when the number ends the street
+    extra: list[str] = []
+    if street == part_of:
+        before = [w for i, (p, w) in enumerate(flat) if p == street and i < at and w not in ("no", "number", "#")]
+        after = g[len(before) :]
+        if before and after and not (after[0] in _DIR and len(after) == 1):
+            g, extra = after, before
+        elif before and not after:
+            turn = next((i for i in range(1, len(g) - 1) if g[i] in _DIR), 0)
+            if turn and not any(w in _TYPE for w in g[:turn]):
+                extra, g = g[:turn], g[turn:]
+    if len(g) > 1 and g[0] in _DIR:
+        side = _DIR[g.pop(0)]
+    cut = next((i for i in range(len(g) - 1, 0, -1) if g[i] in _TYPE), None)
+    if cut is not None:
+        kind = _TYPE[g[cut]]
+        after, g = g[cut + 1 :], g[:cut]
+        if after and after[0] in _DIR:
+            side = side or _DIR[after.pop(0)]
+        extra = extra + after
+    elif len(g) > 1 and g[-1] in _DIR:
+        side = side or _DIR[g.pop()]
+    if len(g) > 1 and g[0] in _DIR and not side:
+        side = _DIR[g.pop(0)]
+    if not g:
+        return None
+    if m := next((m for w in g if (m := re.fullmatch(r"(countyroad|highway)(\d+)", w))), None):
+        i = g.index(m[0])
+        for w in g[i + 1 :]:
+            if w in _DIR:
+                side = side or _DIR[w]
+            else:
+                extra.append(w)
+        for w in g[:i]:
+            if w in _DIR:
+                side = side or _DIR[w]
+            else:
+                extra.append(w)
+        name, kind = m[0], ""
+    elif (o := _ordinal(g)) and o[1] == len(g):
+        name = o[0]
+    else:
+        name = re.sub(r"[^a-z0-9]", "", "".join(g).translate(str.maketrans("0", "o")))
+        if (o := _ordinal(re.split(r"(?<=y)-?", g[0], maxsplit=1) if "-" in g[0] else g)) and len(g) == 1:
+            name = o[0]
+    towns = [w for p in sorted(groups) for w in groups[p] if w not in _DIR and not w.isdigit()] + extra
+    town = tail_town or re.sub(r"[^a-z]", "", "".join(towns))
+    return {"number": number, "name": name, "kind": kind, "side": side, "town": town, "state": state, "zip": "" if zip5 in ("00000",) else zip5}
