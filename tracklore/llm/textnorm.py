@@ -50,6 +50,8 @@ _DIGIT_LETTER = str.maketrans("015", "ols")
 
 def fold(text: str) -> str:
     """Lower case without accents; compatibility forms resolved."""
+    if text.isascii():
+        return text.lower()
     s = unicodedata.normalize("NFKD", text)
     return "".join(c for c in s if not unicodedata.combining(c)).lower()
 
@@ -86,32 +88,71 @@ def edits(a: str, b: str, most: int = 4) -> int:
     return prev[-1]
 
 
-@lru_cache(100_000)
+def _cuts(word: str) -> set[str]:
+    """The word and all that one deletion makes of it."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
+class _Near:
+    """Words within one edit (or a transposition) of a fixed list, found by shared deletions."""
+
+    def __init__(self, words: list[str]):
+        self.at: dict[str, list[str]] = {}
+        for w in words:
+            for c in _cuts(w):
+                self.at.setdefault(c, []).append(w)
+
+    def find(self, word: str) -> str | None:
+        for c in _cuts(word):
+            for w in self.at.get(c, ()):
+                if edits(word, w, 1) <= 1:
+                    return w
+        return None
+
+
+_NEAR_TRADE, _NEAR_GIVEN = _Near(TRADES), _Near(list(GIVEN))
+_STEMS = {t.rstrip("s"): t for t in reversed(TRADES)}
+_TRADE_AT: dict[str, list[str]] = {}
+for _t in TRADES:
+    _TRADE_AT.setdefault(_t[0], []).append(_t)
+
+
+@lru_cache(200_000)
 def trade_of(word: str) -> str | None:
     """The line-of-business word that ``word`` is, shortens or misspells; else None."""
     if word in TRADE_SHORT:
         return TRADE_SHORT[word]
-    if word in TRADES:
-        return "fertilizer" if word == "fertiliser" else word
     if len(word) >= 4:
-        for t in TRADES:
-            if word.rstrip("s") == t.rstrip("s") or edits(word, t, 1) <= 1 or (len(word) >= 8 and edits(word, t, 2) <= 2):
-                return t
+        if (t := _STEMS.get(word.rstrip("s")) or _NEAR_TRADE.find(word)) is not None:
+            return "fertilizer" if t == "fertiliser" else t
+        if len(word) >= 8:
+            for t in _TRADE_AT.get(word[0], ()):
+                if len(t) >= 8 and word[-1] == t[-1] and edits(word, t, 2) <= 2:
+                    return t
     if 2 <= len(word) <= 7:
-        for t in TRADES:
-            if word[0] == t[0] and len(word) < len(t) and is_subsequence(word.rstrip("s"), t):
+        for t in _TRADE_AT.get(word[0], ()):
+            if len(word) < len(t) and is_subsequence(word.rstrip("s"), t):
                 return t
     return None
 
 
-@lru_cache(50_000)
+@lru_cache(200_000)
 def given_of(word: str) -> bool:
     """True for a given name, a familiar form, or a cut-off or misspelt one."""
     if word in _NICK:
         return True
     if len(word) >= 4 and any(k.startswith(word) for k in GIVEN):
         return True
-    return len(word) >= 5 and any(edits(word, k, 1) <= 1 for k in GIVEN)
+    return len(word) >= 5 and _NEAR_GIVEN.find(word) is not None
+
+
+_RE_NOTE = re.compile(r"\([^)]*\)|\[[^\]]*\]")
+_RE_DASH = re.compile(r"\s-\s.*$")
+_RE_COUNT = re.compile(r"[\s,]*(#|no\.?|plant|unit|site|est\.?|dept\.?)\s*\d+\s*$", re.I)
+_RE_CAMEL = re.compile(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ])|(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ]{2})")
+_RE_INITIALS = re.compile(r"\b(?:[a-z]\.){2,}")
+_RE_SPLIT = re.compile(r"[^a-z0-9]+")
+_RE_MIXED = re.compile(r"(?=.*[015])(?=.*[a-z]{2})")
 
 
 def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
@@ -122,16 +163,21 @@ def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
     """
     if not name or not name.strip():
         return [], [], []
-    s = unicodedata.normalize("NFKC", name)
-    s = re.sub(r"\([^)]*\)|\[[^\]]*\]", " ", s)
-    s = re.sub(r"\s-\s.*$", " ", s)
-    s = re.sub(r"(?i)[\s,]*(#|no\.?|plant|unit|site|est\.?|dept\.?)\s*\d+\s*$", " ", s)
-    s = re.sub(r"(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ][a-zà-ÿ])|(?<=[a-zà-ÿ])(?=[A-ZÀ-Þ]{2})", " ", s)
+    s = name if name.isascii() else unicodedata.normalize("NFKC", name)
+    if "(" in s or "[" in s:
+        s = _RE_NOTE.sub(" ", s)
+    if " -" in s:
+        s = _RE_DASH.sub(" ", s)
+    if s[-1:].isdigit():
+        s = _RE_COUNT.sub(" ", s)
+    if not s.isupper() and not s.islower():
+        s = _RE_CAMEL.sub(" ", s)
     s = fold(s)
-    s = re.sub(r"\b(?:[a-z]\.){2,}", lambda m: m[0].replace(".", "") + " ", s)
-    s = s.replace("'", "")
-    words = [w for w in re.split(r"[^a-z0-9]+", s) if w]
-    words = [w.translate(_DIGIT_LETTER) if re.search(r"[a-z]{2}", w) and re.search(r"[015]", w) else w for w in words]
+    if "." in s:
+        s = _RE_INITIALS.sub(lambda m: m[0].replace(".", "") + " ", s)
+    words = [w for w in _RE_SPLIT.split(s.replace("'", "")) if w]
+    if any(c in s for c in "015"):
+        words = [w.translate(_DIGIT_LETTER) if _RE_MIXED.match(w) else w for w in words]
     proper, trades, given = [], [], []
     for i, w in enumerate(words):
         if w in LEGAL or w == "and" or w.isdigit():
