@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracklore.llm.addresses import address_pairs
+from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
 from tracklore.session import table
 
@@ -19,5 +21,29 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(table(spark, sf_dir, "companies"), "row_id", "company_name", "osm_way_id")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found}
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Company rows with their place of the second source, with the confidence."""
+    companies = table(spark, sf_dir, "companies").select(
+        F.col("row_id").alias("id"), F.col("osm_way_id").alias("facility"), F.col("company_name").alias("name"), "address", "city", "state", F.col("zip_code").alias("zip"), "lat", "lon"
+    )
+    first = F.get("addresses", F.lit(0))
+    places = table(spark, sf_dir, "overture_places").select(
+        F.col("place_id").alias("id"),
+        F.col("names.primary").alias("name"),
+        first["freeform"].alias("address"),
+        first["locality"].alias("city"),
+        first["region"].alias("state"),
+        first["postcode"].alias("zip"),
+        ((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2).alias("lat"),
+        ((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2).alias("lon"),
+    )
+    return facility_matches(companies, places)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of company row and place of one organisation at one location."""
+    return p6_matches(spark, sf_dir).select("row_id", "place_id")
+
+
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_matches": p6_matches}
 ORACLE: dict = {}

@@ -184,7 +184,7 @@ def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
             continue
         if w in _NOTES and i:
             continue
-        if given_of(w) and not proper:
+        if (given_of(w) and not proper) or (w in _NICK and len(w) > 3):
             given.append(w)
         elif len(w) == 1:
             given.append(w)
@@ -303,15 +303,25 @@ _DROP = re.compile(
 )
 
 
+_FORMS = "|".join(sorted(_TYPE, key=len, reverse=True))
+#: The usual form without place or unit: number, direction, one word, street type.
+_PLAIN = re.compile(rf"#?0*(\d{{1,6}}),? (?:(n|s|e|w|north|south|east|west)\.? )?([a-z]{{4,}}|\d{{1,3}}(?:st|nd|rd|th)) ({_FORMS})\.?")
+
+
 def parse_address(text: str | None) -> dict | None:
     """Parts of a typed postal address, or None where it names no street and number.
 
     number, name (street name without blanks), kind (street type or ''), side
     (direction or ''), and town, state, zip as far as the address itself has them.
     """
-    if is_placeholder(text):
+    if not text:
+        return None
+    s = fold(text if text.isascii() else unicodedata.normalize("NFKC", text))
+    if (m := _PLAIN.fullmatch(s)) and m[3] not in ("county", "state", *_TYPE):
+        name = re.sub(r"\D", "", m[3]) if m[3][0].isdigit() else str(_ORDINAL.get(m[3], m[3]))
+        return {"number": m[1], "name": name, "kind": _TYPE[m[4]], "side": _DIR[m[2]] if m[2] else "", "town": "", "state": "", "zip": ""}
+    if not any(c.isdigit() for c in s) or is_placeholder(text):
         return None
-    s = fold(unicodedata.normalize("NFKC", text or ""))
     s = re.sub(r"\s+", " ", s)
     s = _DROP.sub(" , ", s)
     s = re.sub(r",?\s*\bu\.?\s?s\.?\s?a\.?\s*$", "", s)
