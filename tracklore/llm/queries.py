@@ -6,11 +6,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklore.llm.addresses import address_pairs
+from tracklore.llm.canonical import canonicalise
+from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, state_entries
 from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
 from tracklore.session import table
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed states and facility types with the entry that is meant, or UNMATCHED."""
+    companies = table(spark, sf_dir, "companies")
+    regions, types = table(spark, sf_dir, "state_regions"), table(spark, sf_dir, "facility_types")
+    fields = {
+        "state": (state_entries(regions), regions.select(F.explode(F.array("state_code", "state_name")).alias("value")), STATE_STOP),
+        "facility_type": (facility_entries(types), types.select(F.col("facility_type").alias("value")), FACILITY_STOP),
+    }
+    found = None
+    for field, (entries, exact, stop) in fields.items():
+        typed = companies.select("row_id", F.col(field).alias("value")).where(F.length(F.trim("value")) > 0).distinct()
+        typed = typed.join(F.broadcast(exact), "value", "left_anti")  # the lists are fixed tables of at most a hundred rows
+        mapped = canonicalise(typed, entries, stop=stop, singular=field != "state")
+        rows = typed.join(mapped, "value").select("row_id", F.lit(field).alias("field_name"), "canonical")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of company rows of different track ends at one street location."""
     return address_pairs(table(spark, sf_dir, "companies"), "row_id", "osm_way_id")
@@ -45,5 +65,5 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("row_id", "place_id")
 
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_matches": p6_matches}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_matches": p6_matches}
 ORACLE: dict = {}
