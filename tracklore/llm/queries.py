@@ -10,6 +10,7 @@ from tracklore.llm.canonical import canonicalise
 from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, state_entries
 from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
+from tracklore.llm.survivors import source_quality, survivors, truths
 from tracklore.session import table
 
 
@@ -41,6 +42,29 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_pairs(table(spark, sf_dir, "companies"), "row_id", "company_name", "osm_way_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City and sector of the surviving record of each facility with several rows."""
+    return survivors(
+        table(spark, sf_dir, "companies"),
+        table(spark, sf_dir, "source_audit"),
+        group="osm_way_id",
+        record="row_id",
+        source="source",
+        date="discovery_date",
+        fields=["city", "sector_guess"],
+    )
+
+
+def p5_truths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sectors judged true of each facility."""
+    return truths(table(spark, sf_dir, "companies"), table(spark, sf_dir, "source_audit"), group="osm_way_id", source="source", field="sector_guess")
+
+
+def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inferred quality of each source by field."""
+    return source_quality(table(spark, sf_dir, "companies"), table(spark, sf_dir, "source_audit"), group="osm_way_id", source="source", fields=["city", "sector_guess"])
+
+
 def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company rows with their place of the second source, with the confidence."""
     companies = table(spark, sf_dir, "companies").select(
@@ -65,5 +89,5 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("row_id", "place_id")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p6_found": p6_found, "p6_matches": p6_matches}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches}
 ORACLE: dict = {}
