@@ -10,6 +10,7 @@ from tracklore.llm.canonical import canonicalise
 from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, state_entries
 from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
+from tracklore.llm.residue import residue_evidence
 from tracklore.llm.survivors import source_quality, survivors, truths
 from tracklore.session import table
 
@@ -89,5 +90,15 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("row_id", "place_id")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches}
+def p9_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents to exclude with the kinds of evidence."""
+    return residue_evidence(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that show template residue, filler, an error message or a notice."""
+    return p9_kinds(spark, sf_dir).select("doc_id").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p9_found": p9_found, "p9_kinds": p9_kinds}
 ORACLE: dict = {}
