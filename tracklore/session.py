@@ -34,3 +34,14 @@ def cut(df: DataFrame, eager: bool = True) -> DataFrame:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Partitions enough for costly work on each row, however few bytes the rows have.
+
+    Adaptive execution would join small partitions by size alone, and a file of one
+    row group is one task; work in Python workers needs all cores instead.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, *cols)
