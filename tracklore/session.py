@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folder of this driver's tables within the shared folder, and the shared folders in use.
+_RUN = f"tracklore-{uuid.uuid4().hex[:12]}"
+_made: set[str] = set()
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,10 +31,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tracklore-ckpt-"))
 
 
-def cut(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager)
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df``: write it to the shared folder and read it back.
+
+    A columnar, compressed table takes a fraction of the disk of a checkpoint of rows
+    and any executor can read it, so a lost executor costs nothing. The tables of a
+    driver are removed when it ends.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir()
+    if base not in _made:
+        _made.add(base)
+        atexit.register(_remove, spark, f"{base}/{_RUN}")
+    path = f"{base}/{_RUN}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # noqa: BLE001 - the session has ended, and with it the way to the folder
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
