@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklore.llm.addresses import address_pairs
 from tracklore.llm.canonical import canonicalise
 from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, state_entries
+from tracklore.llm.leaks import leaked_items
 from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
 from tracklore.llm.residue import residue_evidence
@@ -90,6 +91,11 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("row_id", "place_id")
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat a test item, with the item."""
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def p9_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents to exclude with the kinds of evidence."""
     return residue_evidence(table(spark, sf_dir, "documents"))
@@ -100,5 +106,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_kinds(spark, sf_dir).select("doc_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p9_found": p9_found, "p9_kinds": p9_kinds}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_found": p9_found, "p9_kinds": p9_kinds}
 ORACLE: dict = {}
