@@ -11,6 +11,7 @@ from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, st
 from tracklore.llm.leaks import leaked_items
 from tracklore.llm.linkage import facility_matches
 from tracklore.llm.names import name_pairs
+from tracklore.llm.packing import pack, packing_report, token_counts
 from tracklore.llm.residue import residue_evidence
 from tracklore.llm.survivors import source_quality, survivors, truths
 from tracklore.session import table
@@ -91,6 +92,16 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("row_id", "place_id")
 
 
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents assigned to containers of 2,048 tokens."""
+    return pack(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text"))
+
+
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    return packing_report(p7_containers(spark, sf_dir))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat a test item, with the item."""
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -106,5 +117,5 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p9_kinds(spark, sf_dir).select("doc_id").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_found": p9_found, "p9_kinds": p9_kinds}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_report": p7_report, "p8_found": p8_found, "p9_found": p9_found, "p9_kinds": p9_kinds}
 ORACLE: dict = {}
