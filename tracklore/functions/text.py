@@ -18,10 +18,8 @@ def strip(c: Column) -> Column:
 
 def norm_suffix(c: Column) -> Column:
     """Lower case, stripped, with the listed endings taken off once each in order."""
-    out = strip(F.lower(F.coalesce(c, F.lit(""))))
-    for s in SUFFIXES:
-        out = F.when(F.endswith(out, F.lit(s)), strip(F.left(out, F.length(out) - len(s)))).otherwise(out)
-    return out
+    cut = lambda n, s: F.when(F.endswith(n, s), strip(F.left(n, F.length(n) - F.length(s)))).otherwise(n)
+    return F.aggregate(F.array(*(F.lit(s) for s in SUFFIXES)), strip(F.lower(F.coalesce(c, F.lit("")))), cut)
 
 
 def norm_words(c: Column) -> Column:

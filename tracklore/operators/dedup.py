@@ -55,18 +55,15 @@ def leader_dedup(rows: DataFrame, row_id: str, order: list[Column], radius_m: fl
     if not inclusive:
         near = near.where(haversine(F.col("la"), F.col("lo"), F.col("ola"), F.col("olo")) < radius_m)
     edges = cut(near.select("id", F.col("other").alias("better")))
-    kept = heads.select("id").join(edges.select("id").distinct(), "id", "left_anti")
+    undecided, kept = heads.select("id"), None
     while True:
-        kept = cut(kept)
-        # drop the neighbours of what is kept, then their edges to others; a row whose better ones are all gone is kept
-        dropped = edges.join(kept.select(F.col("id").alias("better")), "better", "left_semi").select("id").distinct()
-        edges = edges.join(dropped, "id", "left_anti").join(dropped.select(F.col("id").alias("better")), "better", "left_anti")
-        rest = cut(edges)
-        # rows that were neither kept nor dropped and have no better undecided neighbour left
-        decided = kept.union(dropped)
-        free = heads.select("id").join(decided, "id", "left_anti").join(rest.select("id").distinct(), "id", "left_anti")
-        free = cut(free)
-        if free.isEmpty():
+        waiting = edges.select("id").distinct()
+        first = cut(undecided.join(waiting, "id", "left_anti"))
+        kept = first if kept is None else kept.unionByName(first)
+        out = edges.join(first.select(F.col("id").alias("better")), "better", "left_semi").select("id").distinct()
+        undecided = cut(undecided.join(first, "id", "left_anti").join(out, "id", "left_anti"))
+        if undecided.isEmpty():
             break
-        kept, edges = kept.union(free), rest
+        still = undecided.select(F.col("id").alias("better"))
+        edges = cut(edges.join(undecided, "id", "left_semi").join(still, "better", "left_semi"))
     return placed.join(kept.select(F.col("id").alias(row_id)), row_id, "left_semi").unionByName(loose)

@@ -35,8 +35,9 @@ def contained(name: Column, known: Column) -> Column:
 
 def flag_known(rows: DataFrame, name: str, known: list[str], flag: str = "in_existing_list") -> DataFrame:
     """Rows with a flag; the empty normal name matches any list that is not empty."""
-    names = rows.select(name).distinct().withColumn(flag, F.size(contained(norm_suffix(F.col(name)), _literal(known))) > 0)
-    return rows.drop(flag).join(names.withColumnRenamed(name, "_n"), F.col(name).eqNullSafe(F.col("_n"))).drop("_n")
+    names = rows.select(F.col(name).alias("_n")).distinct().withColumn("_norm", norm_suffix(F.col("_n")))
+    names = names.withColumn(flag, F.size(contained(F.col("_norm"), _literal(known))) > 0).drop("_norm")
+    return rows.drop(flag).join(names, F.col(name).eqNullSafe(F.col("_n"))).drop("_n")
 
 
 def fuzzy_pairs(names: DataFrame, known: list[str]) -> DataFrame:

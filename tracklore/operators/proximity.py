@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracklore.functions.geo import haversine
 from tracklore.operators.dualtree import distance_join
+from tracklore.session import cut
 
 
 def matches_within(ends: DataFrame, places: DataFrame, radius_m: float, *, end_id: str, place_id: str) -> DataFrame:
@@ -51,7 +52,7 @@ def cascade(ends: DataFrame, passes: list, key: str) -> DataFrame:
     found = None
     rest = ends
     for number, run in enumerate(passes, 1):
-        rows = run(rest).withColumn("pass", F.lit(number))
+        rows = cut(run(rest).withColumn("pass", F.lit(number)))
         found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
         rest = unmatched(rest, rows, key)
     return found
