@@ -48,7 +48,7 @@ def compare_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 
 def unclassified_share(rows: DataFrame, sector: str = "sector_guess") -> DataFrame:
     n = F.count_if(is_unknown(F.col(sector)))
-    return rows.agg(F.count(F.lit(1)).alias("n_rows"), n.alias("unclassified"), F.round(100 * n / F.count(F.lit(1)), 1).alias("share"))
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), n.alias("unclassified"), F.coalesce(F.round(F.try_divide(100 * n, F.count(F.lit(1))), 1), F.lit(0.0)).alias("share"))
 
 
 def run_totals(stats: DataFrame, ok: Column, sums: list[str]) -> DataFrame:
