@@ -14,6 +14,7 @@ from tracklore.llm.names import name_pairs
 from tracklore.llm.packing import pack, packing_report, token_counts
 from tracklore.llm.residue import residue_evidence
 from tracklore.llm.survivors import source_quality, survivors, truths
+from tracklore.llm.textnorm import PLACEHOLDERS
 from tracklore.session import table
 
 
@@ -118,4 +119,19 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_truths": p5_truths, "p5_sources": p5_sources, "p6_found": p6_found, "p6_matches": p6_matches, "p7_containers": p7_containers, "p7_report": p7_report, "p8_found": p8_found, "p9_found": p9_found, "p9_kinds": p9_kinds}
-ORACLE: dict = {}
+
+
+def _best(field: str) -> str:
+    """The best usable value of each facility, by rule."""
+    blanks = ", ".join(f"'{p}'" for p in sorted(PLACEHOLDERS))
+    usable = f"regexp_matches(regexp_replace(lower({field}), '[\\s._\\-]+', '', 'g'), '[a-z\\x{{00c0}}-\\x{{024f}}]|[1-9]') and regexp_replace(lower({field}), '[\\s._\\-]+', '', 'g') not in ({blanks})"
+    rows = f"select distinct row_id, osm_way_id, c.source, discovery_date, {field}, coalesce(correct_rows / checked_rows, 0) as share from companies c left join source_audit a on a.source = c.source and a.field_name = '{field}' where {usable}"
+    return f"(select osm_way_id, arg_max({field}, (share, coalesce(discovery_date, ''), -row_id)) as {field} from ({rows}) group by 1)"
+
+
+ORACLE = {
+    "p5_found": f"""
+select g.osm_way_id, coalesce(a.city, '') as city, coalesce(b.sector_guess, '') as sector_guess
+from (select osm_way_id from companies group by 1 having count(distinct row_id) > 1) g
+left join {_best('city')} a using (osm_way_id) left join {_best('sector_guess')} b using (osm_way_id)"""
+}
