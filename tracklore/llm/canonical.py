@@ -71,7 +71,13 @@ def _similar(a: Column, b: Column) -> Column:
 
 
 def _near(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs of distinct words within two edits, with their similarity, by shared deletions."""
+    """Pairs of distinct words within two edits, with their similarity, by shared deletions.
+
+    A word more than two letters longer than the longest of the list is within two
+    edits of none, so it is left out, however long it is.
+    """
+    longest = right.agg(F.coalesce(F.max(F.length(b)), F.lit(0)).alias("n")).first()["n"]
+    left = left.where(F.length(a) <= longest + 2)
     x = left.select(a, F.explode(_deletions(a)).alias("d"))
     y = right.select(b, F.explode(_deletions(b)).alias("d"))
     pairs = x.join(y, "d").select(a, b).distinct()
