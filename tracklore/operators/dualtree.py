@@ -30,6 +30,8 @@ SHIFTS = (6, 3, 0)
 #: Points of a slot; a pair of slots is at most SLOT * SLOT comparisons.
 SLOT = 2048
 _BOX = ("x", "y", "z")
+#: A cell is one number of three coordinates of this many bits; the least leaf (metres) for which they suffice.
+_BITS, _LEAST_LEAF_M = 21, 10.0
 #: Allowance for rounding in the comparison of boxes, far above the error of doubles.
 _SLACK_M = 1e-3
 
@@ -40,22 +42,32 @@ def _points(df: DataFrame, id_col: str, lat: str, lon: str, leaf_m: float) -> Da
     df = df.distinct()  # a row delivered again is the same point
     x, y, z = unit_xyz(F.col("lat"), F.col("lon"))
     df = df.select("id", "lat", "lon", x.alias("x"), y.alias("y"), z.alias("z"))
-    return df.withColumns({f"c{a}": F.floor(F.col(a) / leaf_m) for a in _BOX})
+    return df.withColumn("c", _pack([F.floor(F.col(a) / leaf_m) for a in _BOX]))
 
 
-def _cell(shift: int, a: str) -> Column:
-    return F.shiftright(F.col(f"c{a}"), shift)
+def _pack(coords: list[Column], shift: int = 0) -> Column:
+    """The cell of three coordinates of a level, as one number."""
+    x, y, z = (c.cast("bigint") + (1 << (_BITS - 1 - shift)) for c in coords)
+    return F.shiftleft(x, 2 * _BITS).bitwiseOR(F.shiftleft(y, _BITS)).bitwiseOR(z)
+
+
+def _lifted(cell: Column, shift: int) -> Column:
+    """The cell that holds ``cell``, ``shift`` halvings up."""
+    if not shift:
+        return cell
+    parts = [F.shiftright(F.shiftright(cell, k * _BITS).bitwiseAND(F.lit((1 << _BITS) - 1).cast("bigint")), shift) for k in (2, 1, 0)]
+    return F.shiftleft(parts[0], 2 * _BITS).bitwiseOR(F.shiftleft(parts[1], _BITS)).bitwiseOR(parts[2])
 
 
 def _leaf_nodes(points: DataFrame) -> DataFrame:
     aggs = [f(a).alias(f"{n}{a}") for a in _BOX for n, f in (("lo", F.min), ("hi", F.max))]
-    return points.groupBy(*(f"c{a}" for a in _BOX)).agg(*aggs, F.count(F.lit(1)).alias("n"))
+    return points.groupBy("c").agg(*aggs, F.count(F.lit(1)).alias("n"))
 
 
 def _lift(leaves: DataFrame, shift: int) -> DataFrame:
     """Nodes of a coarser level from the leaf nodes."""
     aggs = [f(f"{n}{a}").alias(f"{n}{a}") for a in _BOX for n, f in (("lo", F.min), ("hi", F.max))]
-    return leaves.groupBy(*(_cell(shift, a).alias(f"c{a}") for a in _BOX)).agg(*aggs, F.sum("n").alias("n"))
+    return leaves.groupBy(_lifted(F.col("c"), shift).alias("c")).agg(*aggs, F.sum("n").alias("n"))
 
 
 def _side(df: DataFrame, side: str) -> DataFrame:
@@ -82,15 +94,13 @@ def _span2() -> Column:
 
 def _children(leaves: DataFrame, shift: int, parent: int, side: str) -> DataFrame:
     nodes = leaves if shift == 0 else _lift(leaves, shift)
-    nodes = nodes.withColumns({f"p{a}": F.shiftright(F.col(f"c{a}"), parent - shift) for a in _BOX})
-    return _side(nodes, side)
+    return _side(nodes.withColumn("p", _lifted(F.col("c"), parent - shift)), side)
 
 
 def _slotted(points: DataFrame, leaves: DataFrame, side: str) -> DataFrame:
     """Points of their leaf; those of a crowded leaf are spread over its slots."""
-    keys = [f"c{a}" for a in _BOX]
-    crowded = leaves.where(F.col("n") > SLOT).select(*keys, _slots(F.col("n")).alias("of"))
-    pts = points.select(*keys, "id", "lat", "lon").join(crowded, keys, "left")
+    crowded = leaves.where(F.col("n") > SLOT).select("c", _slots(F.col("n")).alias("of"))
+    pts = points.select("c", "id", "lat", "lon").join(crowded, "c", "left")
     slot = F.when(F.col("of").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("id", "lat", "lon"), F.col("of"))).cast("int")
     return _side(pts.withColumn("slot", slot).drop("of"), side)
 
@@ -119,7 +129,7 @@ def distance_join(
     their names, are ignored. If both ids have the same name the right one gets
     the suffix ``_right``.
     """
-    leaf_m = max(radius_m, 1.0)
+    leaf_m = max(radius_m, _LEAST_LEAF_M)
     pl = _points(left, left_id, left_lat, left_lon, leaf_m)
     pr = _points(right, right_id, right_lat, right_lon, leaf_m)
     ll, lr = cut(_leaf_nodes(pl)), cut(_leaf_nodes(pr))
@@ -133,21 +143,20 @@ def distance_join(
     for a in _BOX:
         lo, hi = (F.floor((F.col(f"{n}{a}") + d * (reach + _SLACK_M)) / size) for n, d in (("lo", -1), ("hi", 1)))
         tr = tr.withColumn(f"at{a}", F.explode(F.sequence(lo, hi)))
+    tr = tr.withColumn("at", _pack([F.col(f"at{a}") for a in _BOX], top)).drop(*(f"at{a}" for a in _BOX))
     tr = _side(tr, "r")
-    on = [F.col(f"l_c{a}") == F.col(f"r_at{a}") for a in _BOX]
-    pairs = tl.join(tr, on).where(_gap2() <= near2).withColumn("sure", _span2() <= sure2)
+    pairs = tl.join(tr, F.col("l_c") == F.col("r_at")).where(_gap2() <= near2).withColumn("sure", _span2() <= sure2)
 
-    keys = [f"{s}_c{a}" for s in "lr" for a in _BOX]
     for above, shift in zip(SHIFTS, SHIFTS[1:], strict=False):
-        pairs = pairs.select("sure", *(F.col(k).alias(k.replace("_c", "_p")) for k in keys))
+        pairs = pairs.select("sure", F.col("l_c").alias("l_p"), F.col("r_c").alias("r_p"))
         for side, leaves in (("l", ll), ("r", lr)):
-            pairs = pairs.join(_children(leaves, shift, above, side), [f"{side}_p{a}" for a in _BOX])
+            pairs = pairs.join(_children(leaves, shift, above, side), f"{side}_p")
         pairs = pairs.where(F.col("sure") | (_gap2() <= near2)).withColumn("sure", F.col("sure") | (_span2() <= sure2))
 
-    pairs = pairs.select("sure", *keys, *(F.explode(F.sequence(F.lit(0), _slots(F.col("l_n")) - 1)).alias("l_slot") for _ in "1"), "r_n")
-    pairs = pairs.withColumn("r_slot", F.explode(F.sequence(F.lit(0), _slots(F.col("r_n")) - 1))).drop("r_n")
+    slots = {side: F.explode(F.sequence(F.lit(0), _slots(F.col(f"{side}_n")) - 1)).alias(f"{side}_slot") for side in "lr"}
+    pairs = pairs.select("sure", "l_c", "r_c", slots["l"], "r_n").select("sure", "l_c", "r_c", "l_slot", slots["r"])
     for side, points, leaves in (("l", pl, ll), ("r", pr, lr)):
-        pairs = pairs.join(_slotted(points, leaves, side), [*(f"{side}_c{a}" for a in _BOX), f"{side}_slot"])
+        pairs = pairs.join(_slotted(points, leaves, side), [f"{side}_c", f"{side}_slot"]).drop(f"{side}_c", f"{side}_slot")
     d = haversine(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon"))
     other = right_id if right_id != left_id else f"{right_id}_right"
     return pairs.where(F.col("sure") | (d <= radius_m)).select(F.col("l_id").alias(left_id), F.col("r_id").alias(other))
