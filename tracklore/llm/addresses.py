@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklore.llm.textnorm import parse_address, state_of, town_of, zip_of
-from tracklore.session import cut
+from tracklore.session import cut, spread
 
 _PARSED = "address string, city string, state string, zip string, number string, name string, kind string, side string, region string, own_town string, own_zip string, towns array<string>, zips array<string>"
 
@@ -71,7 +71,8 @@ def parse_forms(rows: DataFrame) -> DataFrame:
                 out.append((*r, p["number"], p["name"], p["kind"], p["side"], region, p["town"], p["zip"], towns, zips))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _PARSED.split(", ")])
 
-    return rows.select("address", "city", "state", "zip").where(F.length(F.trim("address")) > 0).distinct().mapInPandas(run, _PARSED)
+    typed = ["address", "city", "state", "zip"]
+    return spread(rows.select(*typed).where(F.length(F.trim("address")) > 0), *typed).distinct().mapInPandas(run, _PARSED)
 
 
 def _alike(a: Column, b: Column) -> Column:
