@@ -10,12 +10,14 @@ product of the levels, whatever the data, so only it reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache, reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklore.llm.textnorm import consonants, name_tokens, parse_address, state_of, town_of, zip_of
+from tracklore.llm.textnorm import name_tokens, parse_address, town_of, zip_of
 from tracklore.functions.geo import haversine, usable_position
 from tracklore.session import cut, spread
 
@@ -29,7 +31,7 @@ NEAR_M, FAR_M = 1_500.0, 6_000.0
 #: Degrees of the cells in which places without any address look for their neighbours.
 CELL = 0.05
 
-_SPEC = "id long, a string, b string, number string, street string, kind string, side string, zip string, town string, region string, ca string, cb string, lat double, lon double"
+_SPEC = "id long, a string, b string, number string, street string, kind string, side string, zip string, town string, lat double, lon double"
 
 
 def profile(rows: DataFrame) -> DataFrame:
@@ -39,6 +41,8 @@ def profile(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # towns and codes come again and again
+        town_in, zip_in = lru_cache(100_000)(lambda t: town_of(t)), lru_cache(100_000)(lambda t: zip_of(t))
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
@@ -47,38 +51,66 @@ def profile(rows: DataFrame) -> DataFrame:
                     continue
                 a, b = ([*sorted(sorted(words, key=len)[-2:]), ""])[:2]
                 p = parse_address(r.address) or {}
-                town = p.get("town", "") or town_of(r.city)
-                out.append((r.id, a, b, p.get("number", ""), p.get("name", ""), p.get("kind", ""), p.get("side", ""), p.get("zip", "") or zip_of(r.zip) or zip_of(r.state), town, p.get("state", "") or state_of(r.state), consonants(a), consonants(b), r.lat, r.lon))
+                town = p.get("town", "") or town_in(r.city)
+                out.append((r.id, a, b, p.get("number", ""), p.get("name", ""), p.get("kind", ""), p.get("side", ""), p.get("zip", "") or zip_in(r.zip) or zip_in(r.state), town, r.lat, r.lon))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _SPEC.split(", ")])
 
     return rows.mapInPandas(run, _SPEC)
 
 
-def _cells(spread: bool) -> Column:
-    """Key of the cell of a usable position, or of it and its eight neighbours."""
-    around = "sequence(-1, 1)" if spread else "array(0)"
-    cells = f"flatten(transform({around}, i -> transform({around}, j -> xxhash64(7, floor(lat / {CELL}) + i, floor(lon / {CELL}) + j, least(left(a, 2), left(b, 2))))))"
-    empty = F.array().cast("array<bigint>")
-    bare = (F.col("number") == "") & (F.col("zip") == "")
-    return F.when(usable_position(F.col("lat"), F.col("lon")) & (bare if spread else F.lit(True)), F.expr(cells)).otherwise(empty)
-
-
 def _cons(c: str, n: int) -> str:
     return f"left(concat(left({c}, 1), translate(substring({c}, 2), 'aeiou', '')), {n})"
 
 
-def _passes() -> Column:
-    """Keys of the blocking passes; a pass whose parts are missing gives no key."""
-    hints = f"least({_cons('a', 3)}, {_cons('b', 3)}), greatest({_cons('a', 3)}, {_cons('b', 3)})"
+def _hints(n: int) -> str:
+    """First consonants of either word, and of the name run together from it, as an array.
+
+    A name written as one run begins like one of the words of its other form, so one
+    word, or a run, is enough to meet.
+    """
+    parts = ", ".join(_cons(c, n) for c in ("a", "b", "concat(a, b)", "concat(b, a)"))
+    return f"array_distinct(filter(array({parts}), h -> h <> ''))"
+
+
+def _cells(side: str) -> Column:
+    """Keys of the cell of a usable position, and of it and its eight neighbours where a row may have to be found by position.
+
+    Position decides only where number, postal code and town are each missing on
+    either side; one of the two rows is then without number and one of the others, or
+    without both of those.
+    """
+    cells = lambda tag, around: f"flatten(transform(array_distinct(array_remove(array(left(a, 2), left(b, 2)), '')), h -> flatten(transform({around}, i -> transform({around}, j -> xxhash64({tag}, floor(lat / {CELL}) + i, floor(lon / {CELL}) + j, h))))))"
+    empty = F.array().cast("array<bigint>")
+    usable = usable_position(F.col("lat"), F.col("lon"))
+    loose = F.expr("number = '' and (zip = '' or town = '') or zip = '' and town = ''")
+    mine, other = (7, 8) if side == "y" else (8, 7)
+    around = F.when(usable & loose, F.expr(cells(mine, "sequence(-1, 1)"))).otherwise(empty)
+    return F.concat(around, F.when(usable, F.expr(cells(other, "array(0)"))).otherwise(empty))
+
+
+def _passes(side: str) -> Column:
+    """Keys of the blocking passes of a side; a pass whose parts are missing gives no key.
+
+    Passes 1 and 2 ask for both words. One word or a run is enough where a row of the
+    pair has no number (5 for places, 9 for companies): two rows with numbers are of
+    one site only if the numbers agree, and meet in the passes by number.
+    """
+    both = f"least({_cons('a', 3)}, {_cons('b', 3)}), greatest({_cons('a', 3)}, {_cons('b', 3)})"
+    town = _cons("town", 3)
+    mine, other = (5, 9) if side == "y" else (9, 5)
+    one = lambda tag: f"concat(if(zip = '', array(), transform({_hints(3)}, h -> xxhash64({tag}, h, 'z', zip))), if(town = '', array(), transform({_hints(3)}, h -> xxhash64({tag}, h, 't', {town}))))"
+    several = [
+        one(other),
+        f"if(number = '', {one(mine)}, array())",
+        "if(number = '', array(), transform(array_distinct(filter(array(a, b, concat(a, b), concat(b, a)), w -> w <> '')), w -> xxhash64(6, w, number)))",
+    ]
     passes = [
-        f"if(zip = '', null, xxhash64(1, {hints}, zip))",
-        f"if(town = '', null, xxhash64(2, {hints}, {_cons('town', 3)}))",
+        f"if(zip = '', null, xxhash64(1, {both}, zip))",
+        f"if(town = '', null, xxhash64(2, {both}, {town}))",
         "if(zip = '' or number = '', null, xxhash64(3, number, zip))",
-        f"if(town = '' or number = '', null, xxhash64(4, number, {_cons('town', 3)}))",
-        "if(number = '', null, xxhash64(6, a, number))",
-        "if(number = '' or b = '', null, xxhash64(6, b, number))",
+        f"if(town = '' or number = '', null, xxhash64(4, number, {town}))",
     ]
-    return F.expr(f"array_distinct(filter(array({', '.join(passes)}), k -> k is not null))")
+    return F.expr(f"array_distinct(filter(concat(array({', '.join(passes)}), {', '.join(several)}), k -> k is not null))")
 
 
 def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = None) -> Column:
@@ -94,8 +126,11 @@ def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = No
 def compare(pairs: DataFrame) -> DataFrame:
     """Agreement levels of pairs with the columns of both profiles, prefixed x_ and y_."""
     word = lambda p, q: _word(F.col(f"x_{p}"), F.col(f"y_{q}"), F.col(f"x_c{p}"), F.col(f"y_c{q}"))
+    pairs = pairs.withColumns({f"{s}_c{c}": F.expr(_cons(f"{s}_{c}", 99)) for s in "xy" for c in "ab"})
     words = pairs.withColumns({p + q: word(p, q) for p in "ab" for q in "ab"})
-    whole = F.levenshtein(F.concat("x_a", "x_b"), F.concat("y_a", "y_b"), 3).between(0, 3) | F.levenshtein(F.concat("x_b", "x_a"), F.concat("y_a", "y_b"), 3).between(0, 3)
+    # either form may be the run-together one, of words in either order
+    orders = lambda s: (F.concat(f"{s}_a", f"{s}_b"), F.concat(f"{s}_b", f"{s}_a"))
+    whole = reduce(or_, (F.levenshtein(p, q, 3).between(0, 3) for p in orders("x") for q in orders("y")))
     one = (F.col("x_b") == "") | (F.col("y_b") == "")
     lo, hi = F.least("aa", "bb"), F.greatest("aa", "bb")
     lo2, hi2 = F.least("ab", "ba"), F.greatest("ab", "ba")
@@ -163,8 +198,8 @@ def link(left: DataFrame, right: DataFrame) -> DataFrame:
         df = spread(df.where(F.col("id").isNotNull()), "id").distinct()
         sides[s] = cut(profile(df))
     # only ids and keys meet in the join of the passes; the attributes join its distinct pairs
-    keyed = {s: p.select(F.col("id").alias(f"{s}_id"), F.explode(F.concat(_passes(), _cells(s == "y"))).alias("key")) for s, p in sides.items()}
-    pairs = keyed["x"].join(keyed["y"], "key").select("x_id", "y_id").distinct()
+    keyed = {s: p.select(F.col("id").alias(f"{s}_id"), F.explode(F.concat(_passes(s), _cells(s))).alias("key")) for s, p in sides.items()}
+    pairs = keyed["x"].join(keyed["y"], "key").select("x_id", "y_id").repartition("x_id").distinct()
     for s, p in sides.items():
         pairs = pairs.join(p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)), f"{s}_id")
     compared = compare(pairs)
