@@ -1,6 +1,6 @@
 """Cases that the operators once left out."""
 
-from tracklore.llm import linkage
+from tracklore.llm import linkage, residue
 
 SPEC = "id long, facility long, name string, address string, city string, state string, zip string, lat double, lon double"
 BASE = {"name": "Tarvemoor & Belkilesk Steel Inc", "address": "459 W Ramfodale St", "city": "Doonton", "state": "NC", "zip": "23346", "lat": 35.0, "lon": -80.0}
@@ -22,3 +22,9 @@ def test_linkage_blocking(spark):
     # run together in either order; an error in the first consonants of one word; no address but a position
     places = [site(91, None, name="TARVEMOORBELKILESK", **bare), site(92, None, name="Kurdlemane Fostik", city="Upwick", zip="30011", **bare), site(93, None, name="quixleymoldavant", zip="41234", city="Farrow", **bare), site(94, None, name="OSTRANDERVEXMILL", lat=45.001, **nowhere)]
     assert matches(spark, companies, places) == {(1, 91), (2, 92), (3, 93), (4, 94)}
+
+
+def test_residue_filled_records(spark):
+    texts = ["Dear {{name}}, thank you for listing your spur.", "Dear Anna, thank you for listing your spur.", "Dear Bob, thank you for listing your spur. Cars come daily.", "The letter uses {shipper} as a merge field at Doon.", "The letter uses {shipper} as a merge field at Zed."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0}

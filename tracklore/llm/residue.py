@@ -88,13 +88,13 @@ def segments(text: str) -> list[str]:
     return [s for s in (_LEAD.sub("", x.strip()) for x in _SPLIT.split(text)) if s]
 
 
-def skeleton(segment: str) -> list[tuple[str, str, bool]]:
+def skeleton(segment: str, marked: bool = True) -> list[tuple[str, str, bool]]:
     """The maskable positions of a segment: (context, filler, whether it is a marker).
 
     The context is the two words on either side, with names and numbers masked as
     well; positions of the same context are aligned with each other.
     """
-    spans = [(m.start(), m.end(), True) for m in MARKER.finditer(segment)]
+    spans = [(m.start(), m.end(), True) for m in MARKER.finditer(segment)] if marked else []
     free, at = [], 0
     for a, b, _ in [*spans, (len(segment), len(segment), True)]:
         free += [(at + m.start(), at + m.end(), False) for m in _NAME.finditer(segment[at:a])]
@@ -110,6 +110,11 @@ def skeleton(segment: str) -> list[tuple[str, str, bool]]:
         left = ([*(["§"] if k else ["^"]), *pieces[k]])[-2:]
         right = ([*pieces[k + 1], *(["§"] if k + 1 < len(spans) else ["$"])])[:2]
         out.append((" ".join(left) + " § " + " ".join(right), segment[a:b], marker))
+        # a name that fills a slot can run on from a constant word with a capital, or to one
+        if not marked:
+            words = segment[a:b].split()
+            out += [("§ § " + " ".join(right), " ".join(words[i:]), False) for i in range(1, len(words))]
+            out += [(" ".join(left) + " § §", " ".join(words[:i]), False) for i in range(1, len(words))]
     return out
 
 
@@ -157,6 +162,22 @@ def _evidence(docs: DataFrame) -> DataFrame:
     return spread(docs).mapInPandas(run, _OUT)
 
 
+def _filled(docs: DataFrame) -> DataFrame:
+    """Contexts of the names and numbers in segments without a marker, as (context, value) hashes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            seen = set()
+            for text in pdf["text"]:
+                for s in segments(text):
+                    if _BUSY.search(s) and not (_MARK_PARTS.search(s) and MARKER.search(s)):
+                        seen.update((context, f) for context, f, _ in skeleton(s, False))
+            yield pd.DataFrame(sorted(seen), columns=["skeleton", "filler"])
+
+    parts = spread(docs).mapInPandas(run, "skeleton string, filler string")
+    return parts.select(F.xxhash64("skeleton").alias("context"), F.xxhash64("filler").alias("value"))
+
+
 def _filler_docs(docs: DataFrame) -> DataFrame:
     """Documents with a segment of dummy Latin; its vocabulary is learnt from the whole corpus."""
 
@@ -208,11 +229,16 @@ def residue_evidence(docs: DataFrame) -> DataFrame:
     once = texts.withColumn("copy", F.concat(F.xxhash64("text").cast("string"), F.sha2("text", 256))).groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
     evidence = cut(_evidence(once.select("doc_id", "text")))
     slots = evidence.where("kind = 'slot'")
-    # a position is a slot if its filler differs between records of the same context
-    fillers = slots.groupBy("skeleton", "slot").agg(F.count_distinct("filler").alias("values"), F.count_distinct("doc_id").alias("records"))
+    slots = slots.withColumn("context", F.xxhash64("skeleton")).withColumn("value", F.xxhash64("filler"))
+    # a position is a slot if its filler differs between records of the same context, filled ones among them
+    marked = slots.where("marker").select("context").distinct()
+    filled = _filled(once.select("doc_id", "text")).distinct().join(marked, "context", "left_semi")
+    aligned = slots.select("context", "value", "doc_id").unionByName(filled.withColumn("doc_id", F.lit(None).cast("long")))
+    fillers = aligned.groupBy("context").agg(F.count_distinct("value").alias("values"), F.count_distinct("doc_id").alias("records"))
     several = slots.groupBy("doc_id", "segment").agg(F.count_if("marker").alias("markers"))
-    weighed = slots.where("marker").join(fillers, ["skeleton", "slot"]).join(several, ["doc_id", "segment"])
-    # a context seen in one record cannot be aligned: two markers in the segment speak for a template
+    weighed = slots.where("marker").join(fillers, "context").join(several, ["doc_id", "segment"])
+    # a context seen in one record cannot be aligned: two markers in the segment speak for a
+    # template; the same markers in several records, and filled in none, are a text about markers
     open_slots = weighed.where((F.col("values") > 1) | ((F.col("records") == 1) & (F.col("markers") > 1)))
     found = open_slots.select("doc_id", F.lit("slot").alias("kind")).unionByName(evidence.where("kind <> 'slot'").select("doc_id", "kind"))
     found = found.unionByName(_filler_docs(once.select("doc_id", "text")).select("doc_id", F.lit("filler").alias("kind"))).distinct()
