@@ -24,6 +24,11 @@ def test_linkage_blocking(spark):
     assert matches(spark, companies, places) == {(1, 91), (2, 92), (3, 93), (4, 94)}
 
 
+def test_linkage_two_track_ends(spark):
+    companies = [site(1, 1), site(2, 2, lat=35.002), site(3, 3, city="Elsewhere", zip="71111", lat=40.0)]
+    assert matches(spark, companies, [site(91, None)]) == {(1, 91), (2, 91)}
+
+
 def test_residue_filled_records(spark):
     texts = ["Dear {{name}}, thank you for listing your spur.", "Dear Anna, thank you for listing your spur.", "Dear Bob, thank you for listing your spur. Cars come daily.", "The letter uses {shipper} as a merge field at Doon.", "The letter uses {shipper} as a merge field at Zed."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -220,9 +220,10 @@ def facility_matches(companies: DataFrame, places: DataFrame) -> DataFrame:
 
     ``companies`` has id, facility, name, address, city, state, zip, lat, lon; ``places`` has id and
     the same attributes. A facility matches a place if one of its rows does: the name
-    agrees in both words and no part of the address speaks against it. Of several
-    facilities that match a place the one of greatest confidence keeps it, and all
-    rows of a facility share its match.
+    agrees in both words and no part of the address speaks against it. All
+    facilities at the place's own street address keep it; of others, which match by
+    code, town or position, only the one of greatest confidence, if it is the best of
+    all. All rows of a facility share its match.
     """
     attributes = ["id", "name", "address", "city", "state", "zip", "lat", "lon"]
     pairs = link(companies.select(*attributes), places.select(*attributes))
@@ -232,9 +233,13 @@ def facility_matches(companies: DataFrame, places: DataFrame) -> DataFrame:
     bare = (post == -1) & (town == -1)
     located = (street >= 2) | (street == -1) & ((post == 2) | (town >= 1) & (post != 0) | bare & (F.col("g_near") == 2)) & (F.col("g_near") != 0)
     sure = pairs.where((F.col("confidence") >= CONFIDENT) & (F.col("g_name") >= 2) & located)
+    # several track ends of one organisation stand at one site: all that have the place's own
+    # street address, with no other code, town or position speaking against it
+    here = (street >= 2) & ((post == 2) | (town >= 1) | (post == -1) & (town == -1)) & (F.col("g_near") != 0)
     rows = companies.select(F.col("id").alias("x_id"), "facility").distinct()
-    evidence = sure.join(rows, "x_id").groupBy("y_id", "facility").agg(F.max("confidence").alias("confidence"), F.sum(F.greatest(street, F.lit(0))).alias("streets"), F.count(F.lit(1)).alias("rows"))
+    evidence = sure.join(rows, "x_id").groupBy("y_id", "facility").agg(F.max("confidence").alias("confidence"), F.sum(F.greatest(street, F.lit(0))).alias("streets"), F.max(here).alias("here"), F.count(F.lit(1)).alias("rows"))
     strength = F.struct((F.col("streets") > 0).alias("s"), "confidence", "rows", (-F.col("facility")).alias("f"))
     best = evidence.groupBy("y_id").agg(F.max_by(F.struct("facility", "confidence"), strength).alias("best"))
-    best = best.select(F.col("y_id").alias("place_id"), "best.facility", "best.confidence")
-    return rows.join(best, "facility").select(F.col("x_id").alias("row_id"), "place_id", "confidence")
+    best = best.select("y_id", "best.facility", "best.confidence")
+    kept = best.unionByName(evidence.where("here").select("y_id", "facility", "confidence")).distinct()
+    return rows.join(kept.withColumnRenamed("y_id", "place_id"), "facility").select(F.col("x_id").alias("row_id"), "place_id", "confidence")
