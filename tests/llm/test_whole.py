@@ -29,6 +29,11 @@ def test_linkage_two_track_ends(spark):
     assert matches(spark, companies, [site(91, None)]) == {(1, 91), (2, 91)}
 
 
+def test_linkage_short_names(spark):
+    companies = [site(1, 1, name="Bunge LLC"), site(2, 2, name="Cargil Grain"), site(3, 3, name="Bunge Tarvemoor")]
+    assert matches(spark, companies, [site(91, None, name="BUNGE"), site(92, None, name="Cargill Inc")]) == {(1, 91), (2, 92)}
+
+
 def test_residue_filled_records(spark):
     texts = ["Dear {{name}}, thank you for listing your spur.", "Dear Anna, thank you for listing your spur.", "Dear Bob, thank you for listing your spur. Cars come daily.", "The letter uses {shipper} as a merge field at Doon.", "The letter uses {shipper} as a merge field at Zed."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

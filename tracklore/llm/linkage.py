@@ -47,7 +47,7 @@ def profile(rows: DataFrame) -> DataFrame:
             out = []
             for r in pdf.itertuples(index=False):
                 words = name_tokens(r.name)[0]
-                if not words or len(words) == 1 and len(words[0]) < 8:
+                if not words:
                     continue
                 a, b = ([*sorted(sorted(words, key=len)[-2:]), ""])[:2]
                 p = parse_address(r.address) or {}
@@ -130,7 +130,9 @@ def compare(pairs: DataFrame) -> DataFrame:
     words = pairs.withColumns({p + q: word(p, q) for p in "ab" for q in "ab"})
     # either form may be the run-together one, of words in either order
     orders = lambda s: (F.concat(f"{s}_a", f"{s}_b"), F.concat(f"{s}_b", f"{s}_a"))
-    whole = reduce(or_, (F.levenshtein(p, q, 3).between(0, 3) for p in orders("x") for q in orders("y")))
+    # the shorter the name, the fewer errors; a run of 8 letters bears three
+    near = lambda p, q: F.levenshtein(p, q, 3).between(0, 3) & (F.levenshtein(p, q, 3) * 3 <= F.greatest(F.least(F.length(p), F.length(q)) + 1, F.lit(3)))
+    whole = reduce(or_, (near(p, q) for p in orders("x") for q in orders("y")))
     one = (F.col("x_b") == "") | (F.col("y_b") == "")
     lo, hi = F.least("aa", "bb"), F.greatest("aa", "bb")
     lo2, hi2 = F.least("ab", "ba"), F.greatest("ab", "ba")
