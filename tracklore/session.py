@@ -8,47 +8,57 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Folder of this driver's tables within the shared folder, and the shared folders in use.
+#: Folder of this driver's tables within the shared folder, the shared folders in use, and the tables written.
 _RUN = f"tracklore-{uuid.uuid4().hex[:12]}"
 _made: set[str] = set()
+_tables: list[str] = []
 
-DEFAULTS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder that the cluster names in ``spark.checkpoint.dir``.
-
-    Only where the session names none (local tests) a temporary folder is set.
+    Only a session on this machine alone may go without one and gets a temporary
+    folder; on a cluster each executor would write to a folder of its own, so the
+    lack of a shared one is an error.
     """
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tracklore-ckpt-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if folder is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tracklore-ckpt-"))
+        folder = sc.getCheckpointDir()
+    return folder
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df``: write it to the shared folder and read it back.
 
     A columnar, compressed table takes a fraction of the disk of a checkpoint of rows
-    and any executor can read it, so a lost executor costs nothing. The tables of a
-    driver are removed when it ends.
+    and any executor can read it, so a lost executor costs nothing. The tables are
+    removed by ``release``, at the latest when the driver ends.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    base = spark.sparkContext.getCheckpointDir()
+    base = shared_folder(spark)
     if base not in _made:
         _made.add(base)
         atexit.register(_remove, spark, f"{base}/{_RUN}")
     path = f"{base}/{_RUN}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Remove the tables written so far but for the first ``keep``.
+
+    For a long session: call it when the result of a query is written. Results that
+    are not yet written must not be read afterwards.
+    """
+    while len(_tables) > keep:
+        _remove(spark, _tables.pop())
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         jvm = spark.sparkContext._jvm
@@ -63,12 +73,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *cols: str) -> DataFrame:
-    """Partitions enough for costly work on each row, however few bytes the rows have.
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan, with filters and projections, in partitions enough for costly work on each row.
 
-    Adaptive execution would join small partitions by size alone, and a file of one
-    row group is one task; work in Python workers needs all cores instead.
+    The splits of the scan stay as they are, without a shuffle, wherever they occupy
+    all cores; so they do for any table of more than a few megabytes a core. Only a
+    smaller table, or one that cannot be split, is dealt out anew.
     """
-    spark = df.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    return df.repartition(n, *cols)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(3 * cores)
