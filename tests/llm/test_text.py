@@ -6,17 +6,25 @@ from tracklore.llm.leaks import Index, tokens
 from tracklore.llm.linkage import fit, posterior
 from tracklore.llm.packing import plan
 from tracklore.llm.residue import MARKER, PAGE, form_is_blank, segments, skeleton
-from tracklore.llm.textnorm import edits, is_placeholder, name_tokens, parse_address, state_of, town_of, zip_of
+from tracklore.llm.textnorm import Generic, edits, is_placeholder, name_words, parse_address, proper_words, signature, state_of, town_of, zip_of
 
 
-@pytest.mark.parametrize("name", ["Aaakov & Bbbmere Steel Inc", "BBBMERE AAAKOV STL LTD.", "robert aaakov-bbbmere company - Sometown", "Bob AaakovBbbmere (rail dock)", "Aaakov_+_Bbbmere_Steel_Corp. #3"])
+GENERIC = Generic(["steel", "stl", "robert", "bob", "dock", "rail"], ["steel", "robert"])
+
+
+@pytest.mark.parametrize("name", ["Aaakov & Bbbmere Steel Inc", "BBBMERE AAAKOV STL LTD.", "robert aaakov-bbbmere company - Sometown", "Bob AaakovBbbmere (rail dock)", "Aaakov_+_Bbbmere_Stel_Corp. #3"])
 def test_name_forms(name):
-    assert sorted(name_tokens(name)[0]) == ["aaakov", "bbbmere"]
+    assert signature(proper_words(name_words(name), GENERIC)) == ("aaakov", "bbbmere", "")
 
 
 @pytest.mark.parametrize("name", [None, "", "  ", "---", "12", "???"])
 def test_names_without_words(name):
-    assert name_tokens(name)[0] == []
+    assert name_words(name) == []
+
+
+def test_signature_keeps_all_words():
+    assert signature(["tarvemoor", "belkilesk", "pharmaceuticals"]) == ("pharmaceuticals", "tarvemoor", "belkilesk")
+    assert signature([]) == ("", "", "") and signature(["bunge"]) == ("bunge", "", "")
 
 
 @pytest.mark.parametrize(

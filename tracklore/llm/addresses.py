@@ -72,7 +72,7 @@ def parse_forms(rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _PARSED.split(", ")])
 
     typed = ["address", "city", "state", "zip"]
-    return spread(rows.select(*typed).where(F.length(F.trim("address")) > 0), *typed).distinct().mapInPandas(run, _PARSED)
+    return spread(cut(rows.select(*typed).where(F.length(F.trim("address")) > 0).distinct())).mapInPandas(run, _PARSED)
 
 
 def _alike(a: Column, b: Column) -> Column:

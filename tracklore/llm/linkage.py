@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklore.llm.textnorm import name_tokens, parse_address, town_of, zip_of
+from tracklore.llm.names import learn_generic, name_parts
+from tracklore.llm.textnorm import Generic, name_words, parse_address, proper_words, signature, town_of, zip_of
 from tracklore.functions.geo import haversine, usable_position
 from tracklore.session import cut, spread
 
@@ -31,31 +32,34 @@ NEAR_M, FAR_M = 1_500.0, 6_000.0
 #: Degrees of the cells in which places without any address look for their neighbours.
 CELL = 0.05
 
-_SPEC = "id long, a string, b string, number string, street string, kind string, side string, zip string, town string, lat double, lon double"
+_SPEC = "id long, a string, b string, rest string, number string, street string, kind string, side string, zip string, town string, lat double, lon double"
 
 
-def profile(rows: DataFrame) -> DataFrame:
+def profile(rows: DataFrame, generic: Generic) -> DataFrame:
     """Parsed attributes of rows with columns id, name, address, city, state, zip, lat, lon.
 
-    Rows without a proper word in their name are left out; missing parts are ''.
+    All words of the name count that are not generic: the two longest (a, b) and the
+    rest. Rows without one are left out; missing parts are ''.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # towns and codes come again and again
-        town_in, zip_in = lru_cache(100_000)(lambda t: town_of(t)), lru_cache(100_000)(lambda t: zip_of(t))
+        # names, addresses, towns and codes come again and again
+        town_in, zip_in = lru_cache(100_000)(town_of), lru_cache(100_000)(zip_of)
+        name_in = lru_cache(100_000)(lambda n: signature(proper_words(name_words(n), generic)))
+        address_in = lru_cache(100_000)(parse_address)
+        nothing: dict = {}
         for pdf in batches:
             out = []
-            for r in pdf.itertuples(index=False):
-                words = name_tokens(r.name)[0]
-                if not words:
+            for i, name, address, city, state, post, lat, lon in zip(*(pdf[c].tolist() for c in ("id", "name", "address", "city", "state", "zip", "lat", "lon")), strict=True):
+                a, b, rest = name_in(name)
+                if not a:
                     continue
-                a, b = ([*sorted(sorted(words, key=len)[-2:]), ""])[:2]
-                p = parse_address(r.address) or {}
-                town = p.get("town", "") or town_in(r.city)
-                out.append((r.id, a, b, p.get("number", ""), p.get("name", ""), p.get("kind", ""), p.get("side", ""), p.get("zip", "") or zip_in(r.zip) or zip_in(r.state), town, r.lat, r.lon))
+                p = address_in(address) or nothing
+                town = p.get("town", "") or town_in(city)
+                out.append((i, a, b, rest, p.get("number", ""), p.get("name", ""), p.get("kind", ""), p.get("side", ""), p.get("zip", "") or zip_in(post) or zip_in(state), town, lat, lon))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _SPEC.split(", ")])
 
-    return rows.mapInPandas(run, _SPEC)
+    return spread(rows).mapInPandas(run, _SPEC)
 
 
 def _cons(c: str, n: int) -> str:
@@ -138,6 +142,9 @@ def compare(pairs: DataFrame) -> DataFrame:
     lo2, hi2 = F.least("ab", "ba"), F.greatest("ab", "ba")
     best, most = F.greatest(lo, lo2), F.greatest(hi, hi2)
     name = F.when(one & whole, 2).when(one, 0).when(best == 2, 3).when(best == 1, 2).when(most == 2, 1).otherwise(0)
+    # words beside the two longest: left out on one side they are an error, different ones another firm
+    rest = F.when(F.col("x_rest") == F.col("y_rest"), 3).when((F.col("x_rest") == "") | (F.col("y_rest") == ""), 2).when(_word(F.col("x_rest"), F.col("y_rest")) > 0, 2).otherwise(1)
+    name = F.least(name, rest)
     clash = lambda c: (F.col(f"x_{c}") != "") & (F.col(f"y_{c}") != "") & (F.col(f"x_{c}") != F.col(f"y_{c}"))
     gone = lambda c: (F.col(f"x_{c}") == "") | (F.col(f"y_{c}") == "")
     digits = lambda c: F.regexp_extract(c, r"(\d+)$", 1)
@@ -195,26 +202,27 @@ def link(left: DataFrame, right: DataFrame) -> DataFrame:
     missing and never as agreement. Repeated rows count once. Empty tables give an
     empty result.
     """
-    sides = {}
-    for s, df in (("x", left), ("y", right)):
-        df = spread(df.where(F.col("id").isNotNull()), "id").distinct()
-        sides[s] = cut(profile(df))
+    sides = {s: cut(df.where(F.col("id").isNotNull()).distinct()) for s, df in (("x", left), ("y", right))}
+    generic = learn_generic(name_parts(sides["x"].select("name").unionByName(sides["y"].select("name")), "name"))
+    sides = {s: cut(profile(df, generic)) for s, df in sides.items()}
     # only ids and keys meet in the join of the passes; the attributes join its distinct pairs
-    keyed = {s: p.select(F.col("id").alias(f"{s}_id"), F.explode(F.concat(_passes(s), _cells(s))).alias("key")) for s, p in sides.items()}
+    keyed = {s: p.select(F.col("id").alias(f"{s}_id"), F.explode(F.concat(_passes(s), _cells(s))).alias("key")).distinct() for s, p in sides.items()}
     pairs = keyed["x"].join(keyed["y"], "key").select("x_id", "y_id").repartition("x_id").distinct()
     for s, p in sides.items():
         pairs = pairs.join(p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)), f"{s}_id")
-    compared = compare(pairs)
     levels = [f"g_{f}" for f in LEVELS]
-    # candidates that agree in neither word of the name are no pair of one organisation
-    scored = cut(compared.where(F.col("g_name") > 0).select("x_id", "y_id", *levels).distinct())
+    # the pattern table needs all candidates, those without a word of the name in common too
+    scored = cut(compare(pairs).select("x_id", "y_id", *levels))
     counts = scored.groupBy(*levels).agg(F.count(F.lit(1)).alias("n")).collect()  # at most the product of the levels
     patterns = sorted((tuple(int(r[c]) for c in levels), int(r["n"])) for r in counts)
     share, m, u = fit(patterns)
     table = [(*p, float(posterior(p, share, m, u))) for p, _ in patterns]
     spec = ", ".join(f"{c} int" for c in levels) + ", confidence double"
     weights = left.sparkSession.createDataFrame(table, spec)
-    return scored.join(F.broadcast(weights), levels)
+    # an entity of several addresses has several rows, of which the best counts
+    weighed = scored.where(F.col("g_name") > 0).join(F.broadcast(weights), levels)
+    best = F.max_by(F.struct(*levels, "confidence"), F.struct("confidence", *levels)).alias("best")
+    return weighed.groupBy("x_id", "y_id").agg(best).select("x_id", "y_id", "best.*")
 
 
 def facility_matches(companies: DataFrame, places: DataFrame) -> DataFrame:

@@ -1,15 +1,20 @@
 """Variant spellings of organisation names: noisy-channel attribution.
 
-Every distinct name is parsed once into its two proper words (its signature).
-Signatures are spellings with a frequency. For each spelling the candidate
-canonical forms are the more frequent spellings that share a blocking key; the
-posterior of a candidate joins
+Which words of a name are generic (lines of business, legal words, given names and
+their familiar forms, notes) is learnt from the names themselves: such a word stands
+beside ever new words, while a word that names a firm has few partners. What is left
+of a name is its signature, all of it: the two longest words and the others.
+
+Signatures are spellings with a frequency. For each spelling the candidate canonical
+forms are the more frequent spellings that share a blocking key; the posterior of a
+candidate joins
 
 * the prior: how often the candidate spelling occurs, and how established the
   words are in which both differ (a word used with many partners is a word of its
   own and no slip of the pen), and
 * the channel: the likelihood of the typing errors and abbreviations that would
-  turn the candidate into the spelling.
+  turn the candidate into the spelling, estimated by expectation-maximisation over
+  the counts of the error patterns of all candidate pairs.
 
 Each spelling is attached to its candidate of greatest posterior, if that beats
 the hypothesis that the spelling is a name of its own. Frequent spellings are
@@ -19,104 +24,198 @@ popular name with very many spellings never meets all its own variants.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracklore.llm.textnorm import consonants, name_tokens
+from tracklore.llm.textnorm import Generic, consonants, name_words, proper_words, signature
 from tracklore.session import cut, spread
 
+#: A word is common if it is in this share of the distinct names, and generic if it has so many
+#: distinct partners for each distinct name; the least numbers for either to be evidence.
+COMMON_SHARE, GENERIC_SHARE, LEAST = 1 / 250, 1 / 1600, 20
+#: Words before and after a word that count as its partners.
+REACH = 3
 #: Log odds that two names alike by chance are one name, before the errors are counted.
 COINCIDENCE = 6.0
-#: Cost in log likelihood of one, two and three typing errors in a word.
-TYPO = (1.5, 2.8, 4.5)
-#: Cost of a word without its vowels, of a cut-off word, and of words run together.
-VOWELS, CUT, MERGED = 2.0, 2.0, 1.0
-#: Weight of the log number of partners of a word that would have to be an error.
-ESTABLISHED = 2.0
+#: Kinds of error in a word and the costs (log likelihood) from which their estimation starts: none,
+#: one, two and three typing errors, vowels left out, the same with a typing error, cut off.
+START = (0.0, 1.5, 2.8, 4.5, 2.0, 3.5, 2.0)
+#: The same for words run together, and for a word left out of three or more.
+MERGED, OMITTED = 1.0, 3.0
+#: Weight of the log number of partners of a word that would have to be an error, and of the log frequency.
+ESTABLISHED, FREQUENCY = 2.0, 0.5
+ROUNDS = 20
+
+_SIG = "name string, words array<string>, a string, b string, ca string, cb string"
+
+
+def name_parts(rows: DataFrame, col: str) -> DataFrame:
+    """Distinct values of ``col`` with their words in order: (name, words). Names without a word are left out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf["words"] = [name_words(n) for n in pdf["name"]]
+            yield pdf[pdf["words"].map(len) > 0]
 
-_SIG = "name string, a string, b string, ca string, cb string"
+    distinct = cut(rows.select(F.col(col).alias("name")).where(F.length(F.trim("name")) > 0).distinct())
+    return cut(spread(distinct).mapInPandas(run, "name string, words array<string>"))
 
 
-def parse_names(names: DataFrame, col: str) -> DataFrame:
-    """Distinct values of ``col`` as (name, a, b, ca, cb): proper words in order, and without vowels.
+def learn_generic(parts: DataFrame) -> Generic:
+    """The generic words of all names of ``parts`` (words).
 
-    A name with one proper word has an empty ``b``; names with none are left out;
-    of more than two words the two longest count.
+    Counted over all distinct names. What reaches the driver is bounded whatever the
+    data: common words by the words of a name over ``COMMON_SHARE``, generic ones by the
+    partners of a name over ``GENERIC_SHARE``.
+    """
+    n = parts.count()
+    words = parts.select(F.explode(F.array_distinct("words")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    common = sorted(r["w"] for r in words.where(F.col("n") >= max(n * COMMON_SHARE, LEAST)).select("w").collect())
+    left = parts.select(F.array_except("words", F.array(*map(F.lit, common)).cast("array<string>")).alias("words")).where(F.size("words") > 1)
+    hint = "left(concat(left(x, 1), translate(substring(x, 2), 'aeiou', '')), 5)"
+    beside = f"transform(words, (w, i) -> struct(w as w, array_distinct(transform(array_remove(slice(words, greatest(i - {REACH} + 1, 1), least(i, {REACH}) + {REACH} + 1), w), x -> {hint})) as hints))"
+    partners = left.select(F.explode(F.expr(beside)).alias("p")).select("p.w", F.explode("p.hints").alias("hint")).distinct()
+    many = partners.groupBy("w").agg(F.count(F.lit(1)).alias("d")).where(F.col("d") >= max(n * GENERIC_SHARE, LEAST))
+    return Generic([*common, *(r["w"] for r in many.select("w").collect())], common)
+
+
+def parse_names(parts: DataFrame, generic: Generic) -> DataFrame:
+    """Signatures of (name, words): (name, proper words, the two longest of them as a, b, and those without vowels).
+
+    A name with one proper word has an empty ``b``; names with none are left out.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for name in pdf["name"]:
-                words = name_tokens(name)[0]
-                words = sorted(sorted(words, key=len)[-2:])
-                words = [w for w in words if len(w) >= 3] if len(words) > 1 else [w for w in words if len(w) >= 5]
-                if words:
-                    a, b = (words + [""])[:2]
-                    rows.append((name, a, b, consonants(a), consonants(b)))
-            yield pd.DataFrame(rows, columns=["name", "a", "b", "ca", "cb"])
+            for name, words in zip(pdf["name"], pdf["words"], strict=True):
+                proper = sorted(set(proper_words(list(words), generic)))
+                a, b, _ = signature(proper)
+                if a:
+                    rows.append((name, proper, a, b, consonants(a), consonants(b)))
+            yield pd.DataFrame(rows, columns=["name", "words", "a", "b", "ca", "cb"])
+
+    return spread(parts).mapInPandas(run, _SIG)
+
+
+def _keys() -> Column:
+    """Blocking keys of a signature.
 
-    distinct = spread(names.select(F.col(col).alias("name")).where(F.length(F.trim("name")) > 0), "name").distinct()
-    return distinct.mapInPandas(run, _SIG)
+    A key has a word exactly and a hint of the other, or hints of both in either order,
+    or (5) a hint of both run together, which alone can meet a name of one word. Of more
+    than two words each and the next in order (the last and the first) are a key (9), so
+    an error in one leaves others. One
+    word alone has only that. Two names of the same words at other places in the order
+    meet as well, for hints of both are sorted.
+    """
+    pair = lambda tag, p, q: f"xxhash64({tag}, least({p}, {q}), greatest({p}, {q}))"
+    keys = [pair(3, "left(ca, 5)", "left(cb, 5)"), pair(4, "left(a, 4)", "left(b, 4)")]
+    for x, y, cx, cy in (("a", "b", "ca", "cb"), ("b", "a", "cb", "ca")):
+        keys += [f"xxhash64(1, {x}, left({cy}, 3))", f"xxhash64(2, {x}, right({y}, 3))", f"xxhash64(7, left({x}, 4), right({y}, 5))", f"xxhash64(5, left(concat({cx}, translate({y}, 'aeiou', '')), 7))"]
+    ring = "transform(words, (w, i) -> xxhash64(9, least(w, get(words, (i + 1) % size(words))), greatest(w, get(words, (i + 1) % size(words)))))"
+    return F.expr(f"case when b = '' then array(xxhash64(5, left(ca, 7))) else array_distinct(concat(array({', '.join(keys)}), {ring})) end")
+
+
+def _error(a: Column, b: Column, ca: Column, cb: Column) -> Column:
+    """The kind of error (place in ``START``) that writes the word ``a`` for ``b``; null where none explains it."""
+    lev = F.levenshtein(a, b, 3)
+    shorter = F.least(F.length(a), F.length(b))
+    bare = ((a == ca) | (b == cb)) & (F.length(ca) >= 3)
+    kind = F.when(a == b, 0).when(lev == 1, 1).when(bare & (ca == cb), 4).when((shorter >= 3) & (F.startswith(a, b) | F.startswith(b, a)), 6)
+    kind = kind.when((lev == 2) & (shorter >= 5), 2).when(bare & (F.levenshtein(ca, cb, 1) >= 0), 5)
+    return kind.when((lev == 3) & (shorter >= 8), 3)
+
+
+def _written(x: str, y: str) -> Column:
+    """The same of two columns, x_a or x_b against y_a or y_b."""
+    return _error(*map(F.col, (x, y, x.replace("_", "_c"), y.replace("_", "_c"))))
+
+
+def _bare(c: Column) -> Column:
+    return F.concat(F.substring(c, 1, 1), F.translate(F.substring(c, 2, 1 << 30), "aeiou", ""))
 
 
-def _blocks(sig: DataFrame) -> DataFrame:
-    """Blocking keys, each with the words in the order in which it reads them.
+def _priced(kind: Column, costs: tuple[float, ...]) -> Column:
+    return F.get(F.array(*map(F.lit, costs)), kind)
 
-    A key has a word exactly and a hint of the other, or hints of both, or (5) a
-    hint of both run together, which alone can meet a name of one word.
+
+def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of a spelling and a more frequent one with the errors that explain them.
+
+    Only ids and keys meet in the join of the blocks; each distinct pair is compared
+    once, whichever keys it shares.
     """
+    strength = F.struct("n", "weight", "sid")
+    keyed = left.select("sid", strength.alias("s"), F.explode(_keys()).alias("key"))
+    to = right.select(F.col("sid").alias("to_sid"), strength.alias("to_s"), F.explode(_keys()).alias("key"))
+    pairs = keyed.join(to, "key").where((F.col("sid") != F.col("to_sid")) & (F.col("to_s") > F.col("s"))).select("sid", "to_sid").distinct()
+    side = lambda df, p: df.select(*(F.col(c).alias(f"{p}_{c}") for c in df.columns))
+    pairs = pairs.join(side(left, "x"), F.col("sid") == F.col("x_sid")).join(side(right, "y"), F.col("to_sid") == F.col("y_sid"))
+    solo, to_solo = F.col("x_b") == "", F.col("y_b") == ""
+    # one of the two is run together: as two words in either order, each with or without its vowels, against one
+    together = lambda p: [F.concat(f"{p}_{x}", f"{p}_{y}") for u, v in (("a", "b"), ("b", "a")) for x in (u, f"c{u}") for y in (v, f"c{v}")]
+    runs = lambda p: F.when(solo | to_solo, F.when(F.col(f"{p}_b") == "", F.array(f"{p}_a")).otherwise(F.array(*together(p))))
+    pairs = pairs.withColumns({"x_r": runs("x"), "y_r": runs("y")})
+    # two letters in eight of a run may be wrong; a form without vowels counts as that kind
+    near = "transform(x_r, (p, i) -> transform(y_r, (q, j) -> if(p = q, if(i % 4 + j % 4 > 0, 4, 0), if(levenshtein(p, q, 3) between 1 and 3, if(i % 4 + j % 4 > 0, 5, levenshtein(p, q, 3)), if(least(length(p), length(q)) >= 7 and (startswith(p, q) or startswith(q, p)), 6, 9)))))"
+    one = F.array_min(F.expr(f"filter(flatten({near}), k -> k < 9)"))
+    straight = _priced(_written("x_a", "y_a"), START) + _priced(_written("x_b", "y_b"), START)
+    crossed = _priced(_written("x_a", "y_b"), START) + _priced(_written("x_b", "y_a"), START)
+    turn = F.coalesce(crossed < straight, straight.isNull() & crossed.isNotNull(), F.lit(False))
+    # of more words, those that stand on one side only: one on each side may be an error, one alone left out
+    more = (F.size("x_words") > 2) | (F.size("y_words") > 2)
+    own, to_own = (F.array_except(f"{p}_words", f"{q}_words") for p, q in ("xy", "yx"))
+    pairs = pairs.withColumn("own", F.when(more, own)).withColumn("to_own", F.when(more, to_own)).withColumn("turn", turn & ~solo & ~to_solo & ~more)
+    mine, theirs = F.get("own", F.lit(0)), F.get("to_own", F.lit(0))
+    odd = F.size("own") + F.size("to_own")
+    other = F.when((odd == 0) | (odd == 1) & (F.least(F.size("x_words"), F.size("y_words")) > 1), 0).when((odd == 2) & theirs.isNotNull(), _error(mine, theirs, _bare(mine), _bare(theirs)))
+    word = lambda w: F.when(F.col("turn"), _written(f"x_{w}", f"y_{'ab'[w == 'a']}")).otherwise(_written(f"x_{w}", f"y_{w}"))
+    single = solo | to_solo
+    either = lambda w, alone, several: F.when(single, alone).when(more, several).otherwise(word(w))
+    slip = lambda w: F.when(single | more | (F.col(f"e{w}") == 0), 0.0).otherwise(ESTABLISHED * F.log(F.least(F.col(f"x_d{w}"), F.when(F.col("turn"), F.col(f"y_d{'ab'[w == 'a']}")).otherwise(F.col(f"y_d{w}"))).cast("double")))
+    pairs = pairs.withColumns({"ea": either("a", one, other), "eb": either("b", F.lit(0), F.lit(0))}).where("ea is not null and eb is not null")
+    fixed = slip("a") + slip("b") + F.when(more & ~single & (odd == 1), OMITTED).otherwise(0.0)
+    prior = FREQUENCY * F.log((F.col("y_n") + 1.0) / (F.col("x_n") + 1.0))
+    scored = pairs.select("sid", "to_sid", F.col("y_n").alias("to_n"), F.col("y_weight").alias("to_weight"), F.least("ea", "eb").cast("int").alias("e1"), F.greatest("ea", "eb").cast("int").alias("e2"), (solo != to_solo).alias("merged"), F.round(fixed - prior, 1).alias("fixed"))
+    return scored.where(F.col("fixed") < COINCIDENCE)
+
+
+def fit_channel(patterns: list[tuple[int, int, bool, float, float]]) -> tuple[tuple[float, ...], float]:
+    """(cost of each kind of error, cost of words run together) by expectation-maximisation.
+
+    ``patterns`` are (error of one word, of the other, run together, fixed cost, number of
+    pairs). A pair is one name with the posterior of its costs as they stand; the
+    expected counts of the kinds, with the start as the prior, give the next costs. No
+    patterns give the start.
+    """
+    costs, merged = START, MERGED
+    base = [math.exp(-c) for c in START]
+    weight = 50.0 / sum(base)  # the start counts as so many words
+    for _ in range(ROUNDS if patterns else 0):
+        kinds = [weight * b for b in base]
+        run, of = 25.0 * math.exp(-MERGED), 25.0
+        for e1, e2, m, fixed, n in patterns:
+            odds = COINCIDENCE - costs[e1] - costs[e2] - (merged if m else 0.0) - fixed
+            p = n / (1 + math.exp(-max(min(odds, 50.0), -50.0)))
+            kinds[e1] += p
+            kinds[e2] += p
+            run, of = run + p * m, of + p
+        # as in the start, no error at all is the reference
+        costs = tuple(max(math.log(kinds[0] / k), 0.0) for k in kinds)
+        merged = max(-math.log(run / of), 0.0)
+    return costs, merged
+
 
-    def entry(key: Column, x: Column, y: Column, cx: Column, cy: Column, dx: Column, dy: Column) -> Column:
-        return F.struct(key.alias("key"), x.alias("x"), y.alias("y"), cx.alias("cx"), cy.alias("cy"), dx.alias("dx"), dy.alias("dy"))
-
-    def two(p: str, q: str) -> list[Column]:
-        x, y, cx, cy, dx, dy = (F.col(c) for c in (p, q, f"c{p}", f"c{q}", f"d{p}", f"d{q}"))
-        keys = [
-            F.concat(F.lit("1"), x, F.lit("|"), F.substring(cy, 1, 3)),
-            F.concat(F.lit("2"), x, F.lit("|"), F.expr(f"right({q}, 3)")),
-            F.concat(F.lit("3"), F.substring(cx, 1, 5), F.lit("|"), F.substring(cy, 1, 5)),
-            F.concat(F.lit("4"), F.substring(x, 1, 4), F.lit("|"), F.substring(y, 1, 4)),
-            F.concat(F.lit("7"), F.substring(x, 1, 4), F.lit("|"), F.expr(f"right({q}, 5)")),
-        ]
-        bare = F.concat(cx, F.translate(y, "aeiou", ""))
-        run = entry(F.concat(F.lit("5"), F.substring(bare, 1, 7)), F.concat(x, y), F.lit(""), bare, F.lit(""), F.lit(1).cast("long"), F.lit(1).cast("long"))
-        return [*(entry(k, x, y, cx, cy, dx, dy) for k in keys), run]
-
-    one = F.lit(1).cast("long")
-    solo = F.array(entry(F.concat(F.lit("5"), F.substring("ca", 1, 7)), F.col("a"), F.lit(""), F.col("ca"), F.lit(""), one, one))
-    both = F.array(*two("a", "b"), *two("b", "a"))
-    sig = sig.withColumn("at", F.explode(F.when(F.col("b") == "", solo).otherwise(both)))
-    return sig.select("sid", "n", "weight", (F.col("b") == "").alias("solo"), "at.*")
-
-
-def _cost(x: Column, cx: Column, y: Column, cy: Column) -> Column:
-    """Channel cost of writing ``x`` for the word ``y``; null where no error explains it."""
-    lev = F.levenshtein(x, y, 3)
-    shorter = F.least(F.length(x), F.length(y))
-    typo = F.when(lev == 1, TYPO[0]).when((lev == 2) & (shorter >= 5), TYPO[1]).when((lev == 3) & (shorter >= 8), TYPO[2])
-    skeleton = F.when((F.levenshtein(cx, cy, 1).between(0, 1)) & ((x == cx) | (y == cy)) & (F.length(cx) >= 3), VOWELS + F.when(cx == cy, 0.0).otherwise(TYPO[0]))
-    cutoff = F.when((shorter >= 3) & (F.startswith(x, y) | F.startswith(y, x)), CUT)
-    return F.when(x == y, 0.0).otherwise(F.least(typo, skeleton, cutoff))
-
-
-def _attach(left: DataFrame, right: DataFrame) -> DataFrame:
-    """For each spelling of ``left`` its best canonical form of ``right``, if it beats being a name of its own."""
-    c = _blocks(right)
-    c = c.select(*(F.col(x).alias(f"to_{x}") for x in c.columns))
-    better = F.struct("to_n", "to_weight", "to_sid") > F.struct("n", "weight", "sid")
-    apart = ~F.startswith("key", F.lit("5")) | F.col("solo") | F.col("to_solo")
-    pairs = _blocks(left).join(c, (F.col("key") == F.col("to_key")) & (F.col("sid") != F.col("to_sid")) & better & apart)
-    cost = lambda w: _cost(F.col(w), F.col(f"c{w}"), F.col(f"to_{w}"), F.col(f"to_c{w}"))
-    slip = lambda w: F.when(F.col(w) == F.col(f"to_{w}"), 0.0).otherwise(ESTABLISHED * F.log(F.least(f"d{w}", f"to_d{w}").cast("double")))
-    total = cost("x") + cost("y") + slip("x") + slip("y") + F.when(F.col("solo") == F.col("to_solo"), 0.0).otherwise(MERGED)
-    scored = pairs.select("sid", "to_sid", "to_n", "to_weight", total.alias("cost"), F.log((F.col("to_n") + 1.0) / (F.col("n") + 1.0)).alias("prior"))
-    posterior = COINCIDENCE - F.col("cost") + 0.5 * F.col("prior")
-    best = F.max_by("to_sid", F.struct(posterior.alias("p"), "to_n", "to_weight", "to_sid"))
-    return scored.where(F.col("cost") < COINCIDENCE).groupBy("sid").agg(best.alias("to"))
+def _attach(scored: DataFrame, channel: tuple[tuple[float, ...], float]) -> DataFrame:
+    """For each spelling its best canonical form, if it beats being a name of its own."""
+    costs, merged = channel
+    total = _priced(F.col("e1"), costs) + _priced(F.col("e2"), costs) + F.when(F.col("merged"), merged).otherwise(0.0) + F.col("fixed")
+    best = F.max_by("to_sid", F.struct((-F.col("cost")).alias("p"), "to_n", "to_weight", "to_sid"))
+    return scored.withColumn("cost", total).where(F.col("cost") < COINCIDENCE).groupBy("sid").agg(best.alias("to"))
 
 
 def name_classes(rows: DataFrame, id_col: str, name_col: str) -> DataFrame:
@@ -127,19 +226,21 @@ def name_classes(rows: DataFrame, id_col: str, name_col: str) -> DataFrame:
     other columns are ignored; an empty table gives an empty result.
     """
     rows = rows.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).where(F.col("id").isNotNull()).distinct()
-    parsed = cut(parse_names(rows, "name"))
+    parts = name_parts(rows, "name")
+    parsed = cut(parse_names(parts, learn_generic(parts)).withColumn("sid", F.xxhash64("words")))
     counts = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    sig = parsed.join(counts, "name").groupBy("a", "b", "ca", "cb").agg(F.sum("n").alias("n"))
+    sig = parsed.join(counts, "name").groupBy("sid", "words", "a", "b", "ca", "cb").agg(F.sum("n").alias("n"))
     degree = sig.select(F.explode(F.array("a", "b")).alias("w")).where("w <> ''").groupBy("w").agg(F.count(F.lit(1)).alias("d"))
     for side in "ab":
         sig = sig.join(degree.select(F.col("w").alias(side), F.col("d").alias(f"d{side}")), side, "left")
-    sig = sig.fillna(1, ["da", "db"]).withColumn("weight", F.log(F.col("da") * F.col("db")) + F.length(F.concat("a", "b")) / 100)
-    sig = cut(sig.withColumn("sid", F.xxhash64("a", "b")))
+    sig = cut(sig.fillna(1, ["da", "db"]).withColumn("weight", F.log(F.col("da") * F.col("db")) + F.length(F.concat("a", "b")) / 100))
 
-    frequent = sig.where(F.col("n") > 1)
-    first = cut(_attach(sig, frequent))
+    scored = cut(_candidates(sig, sig.where(F.col("n") > 1)))
+    tally = scored.groupBy("e1", "e2", "merged", F.round("fixed").alias("fixed")).agg(F.count(F.lit(1)).alias("n")).collect()  # kinds by kinds by some twenty costs
+    channel = fit_channel(sorted((r["e1"], r["e2"], r["merged"], r["fixed"], float(r["n"])) for r in tally))
+    first = cut(_attach(scored, channel))
     rest = cut(sig.join(first, "sid", "left_anti").where(F.col("n") == 1))
-    second = cut(_attach(rest, rest)).select("sid", F.col("to").alias("second"))
+    second = _attach(_candidates(rest, rest), channel).select("sid", F.col("to").alias("second"))
     root = sig.select("sid").join(first, "sid", "left").join(second, "sid", "left")
     root = cut(root.select("sid", F.coalesce("to", "second", "sid").alias("to")))
     while True:  # pointer jumping: the depth halves, so a few rounds end it
@@ -148,7 +249,7 @@ def name_classes(rows: DataFrame, id_col: str, name_col: str) -> DataFrame:
         root = jumped.drop("moved")
         if jumped.where("moved").isEmpty():
             break
-    entity = parsed.withColumn("sid", F.xxhash64("a", "b")).join(root, "sid").select("name", F.col("to").alias("entity"))
+    entity = parsed.join(root, "sid").select("name", F.col("to").alias("entity"))
     return rows.join(entity, "name").select("id", "name", "entity")
 
 

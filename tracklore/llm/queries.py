@@ -16,6 +16,7 @@ from tracklore.llm.residue import residue_evidence
 from tracklore.llm.survivors import source_quality, survivors, truths
 from tracklore.llm.textnorm import PLACEHOLDERS
 from tracklore.session import table
+from tracklore.sources.io import point_of_wkb
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,23 +70,29 @@ def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_quality(table(spark, sf_dir, "companies"), table(spark, sf_dir, "source_audit"), group="osm_way_id", source="source", fields=["city", "sector_guess"])
 
 
+def place_rows(places: DataFrame) -> DataFrame:
+    """A row for each address of a place; parts that it lacks come from the place's other addresses.
+
+    The position is that of the geometry, else the middle of the box. Places without
+    an address have one row.
+    """
+    parts = {"address": "freeform", "city": "locality", "state": "region", "zip": "postcode"}
+    filled = lambda part: f"coalesce(nullif(trim(a.{part}), ''), try_element_at(filter(transform(addresses, b -> b.{part}), v -> trim(v) <> ''), 1))"
+    structs = ", ".join(f"{filled(p)} as {c}" for c, p in parts.items())
+    each = F.expr(f"explode_outer(array_distinct(transform(addresses, a -> struct({structs}))))")
+    point = point_of_wkb(F.col("geometry"))
+    lat = F.coalesce(point["lat"], (F.col("bbox.ymin") + F.col("bbox.ymax")) / 2)
+    lon = F.coalesce(point["lon"], (F.col("bbox.xmin") + F.col("bbox.xmax")) / 2)
+    rows = places.select(F.col("place_id").alias("id"), F.col("names.primary").alias("name"), each.alias("at"), lat.alias("lat"), lon.alias("lon"))
+    return rows.select("id", "name", *(F.col(f"at.{c}").alias(c) for c in parts), "lat", "lon")
+
+
 def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company rows with their place of the second source, with the confidence."""
     companies = table(spark, sf_dir, "companies").select(
         F.col("row_id").alias("id"), F.col("osm_way_id").alias("facility"), F.col("company_name").alias("name"), "address", "city", "state", F.col("zip_code").alias("zip"), "lat", "lon"
     )
-    first = F.get("addresses", F.lit(0))
-    places = table(spark, sf_dir, "overture_places").select(
-        F.col("place_id").alias("id"),
-        F.col("names.primary").alias("name"),
-        first["freeform"].alias("address"),
-        first["locality"].alias("city"),
-        first["region"].alias("state"),
-        first["postcode"].alias("zip"),
-        ((F.col("bbox.ymin") + F.col("bbox.ymax")) / 2).alias("lat"),
-        ((F.col("bbox.xmin") + F.col("bbox.xmax")) / 2).alias("lon"),
-    )
-    return facility_matches(companies, places)
+    return facility_matches(companies, place_rows(table(spark, sf_dir, "overture_places")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

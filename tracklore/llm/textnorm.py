@@ -1,50 +1,21 @@
 """Parsers of organisation names and postal addresses as people type them.
 
 Pure Python on single strings, applied in Arrow batches to distinct values only.
-All word lists are fixed values of general English and of United States postal
-usage; nothing here is fitted to a table.
+The word lists are fixed values of legal forms and of United States postal usage;
+which other words of a name are generic is learnt from the names (names.learn_generic).
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 #: Legal forms and holding words: they never tell firms apart (fixed values).
 LEGAL = frozenset(
     "inc incorporated co company comp corp corporation ltd limited llc lc lp llp plc holdings holding hldgs group grp industries industry inds ind the of dba".split()
 )
-#: Words for a line of business (fixed values).
-TRADES = (
-    "aggregates axle beverage castings cement chemical coatings distribution elevator energy feed fertilizer fertiliser "
-    "flour forest foundry grain gypsum logistics lumber manufacturing mills paper parts petroleum plastics products "
-    "propane recycling resins salvage steel sugar transload vehicle warehousing works warehouse"
-).split()
-#: Short forms of those words that are no subsequence of them (fixed values).
-TRADE_SHORT = {"xload": "transload", "mfg": "manufacturing", "for": "forest", "mls": "mills", "ml": "mills", "wks": "works", "pts": "parts"}
-#: Given names and their familiar forms (fixed values).
-GIVEN = {
-    "alexander": "alex sandy al xander",
-    "charles": "chuck charlie chas",
-    "dorothy": "dot dottie dolly",
-    "edward": "ed ned ted eddie",
-    "eleanor": "nell ellie nora",
-    "elizabeth": "liz beth betty eliza lizzie",
-    "frederick": "fred fritz freddy",
-    "james": "jim jimmy jamie",
-    "joseph": "joe joey jos",
-    "katherine": "kate kathy kat katie",
-    "margaret": "peggy meg maggie marge",
-    "richard": "rick dick rich ricky",
-    "robert": "bob rob bobby bert",
-    "theodore": "ted theo teddy",
-    "thomas": "tom tommy thos",
-    "william": "bill will billy wm",
-}
-_NICK = {n for k, v in GIVEN.items() for n in [k, *v.split()]}
-#: Words of places and notes that can follow a name (fixed values).
-_NOTES = frozenset("est established op rail dock yard office plant site no number unit terminal div division branch attn formerly".split())
 _DIGIT_LETTER = str.maketrans("015", "ols")
 
 
@@ -110,40 +81,39 @@ class _Near:
         return None
 
 
-_NEAR_TRADE, _NEAR_GIVEN = _Near(TRADES), _Near(list(GIVEN))
-_STEMS = {t.rstrip("s"): t for t in reversed(TRADES)}
-_TRADE_AT: dict[str, list[str]] = {}
-for _t in TRADES:
-    _TRADE_AT.setdefault(_t[0], []).append(_t)
+class Generic:
+    """Words that do not tell organisations apart, with their misspellings and short forms.
 
+    ``words`` are those that a corpus shows to be generic and ``common`` the most
+    frequent of them. A word is generic too if it is within one typing error
+    of a common one, or a short form of one: no longer than four letters, from the
+    first letter and in order.
+    """
 
-@lru_cache(200_000)
-def trade_of(word: str) -> str | None:
-    """The line-of-business word that ``word`` is, shortens or misspells; else None."""
-    if word in TRADE_SHORT:
-        return TRADE_SHORT[word]
-    if len(word) >= 4:
-        if (t := _STEMS.get(word.rstrip("s")) or _NEAR_TRADE.find(word)) is not None:
-            return "fertilizer" if t == "fertiliser" else t
-        if len(word) >= 8:
-            for t in _TRADE_AT.get(word[0], ()):
-                if len(t) >= 8 and word[-1] == t[-1] and edits(word, t, 2) <= 2:
-                    return t
-    if 2 <= len(word) <= 7:
-        for t in _TRADE_AT.get(word[0], ()):
-            if len(word) < len(t) and is_subsequence(word.rstrip("s"), t):
-                return t
-    return None
-
-
-@lru_cache(200_000)
-def given_of(word: str) -> bool:
-    """True for a given name, a familiar form, or a cut-off or misspelt one."""
-    if word in _NICK:
-        return True
-    if len(word) >= 4 and any(k.startswith(word) for k in GIVEN):
-        return True
-    return len(word) >= 5 and _NEAR_GIVEN.find(word) is not None
+    def __init__(self, words: Iterable[str] = (), common: Iterable[str] = ()):
+        self.words = frozenset(words)
+        common = [w for w in common if len(w) >= 4]
+        self._near = _Near(common)
+        self._at: dict[str, list[str]] = {}
+        for w in common:
+            self._at.setdefault(w[0], []).append(w)
+        self._known: dict[str, bool] = {}
+
+    def __contains__(self, word: str) -> bool:
+        if word in self.words:
+            return True
+        if word not in self._known:
+            if len(self._known) > 500_000:
+                self._known.clear()
+            self._known[word] = self._like(word)
+        return self._known[word]
+
+    def _like(self, word: str) -> bool:
+        if len(word) > 24:
+            return False
+        if len(word) >= 4 and self._near.find(word) is not None:
+            return True
+        return 2 <= len(word) <= 4 and any(len(word) < len(w) and is_subsequence(word, w) for w in self._at.get(word[:1], ()))
 
 
 _RE_NOTE = re.compile(r"\([^)]*\)|\[[^\]]*\]")
@@ -155,14 +125,14 @@ _RE_SPLIT = re.compile(r"[^a-z0-9]+")
 _RE_MIXED = re.compile(r"(?=.*[015])(?=.*[a-z]{2})")
 
 
-def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
-    """(proper words, line-of-business words, given names) of an organisation's name.
+def name_words(name: str | None) -> list[str]:
+    """The words of an organisation's name in order, folded.
 
-    Legal forms, places after a dash, notes in brackets, numbers and connectives are
-    dropped. Null, blank and junk values give three empty lists.
+    Legal forms, places after a dash, notes in brackets, numbers, lone letters and
+    connectives are dropped. Null, blank and junk values give an empty list.
     """
     if not name or not name.strip():
-        return [], [], []
+        return []
     s = name if name.isascii() else unicodedata.normalize("NFKC", name)
     if "(" in s or "[" in s:
         s = _RE_NOTE.sub(" ", s)
@@ -178,27 +148,24 @@ def name_tokens(name: str | None) -> tuple[list[str], list[str], list[str]]:
     words = [w for w in _RE_SPLIT.split(s.replace("'", "")) if w]
     if any(c in s for c in "015"):
         words = [w.translate(_DIGIT_LETTER) if _RE_MIXED.match(w) else w for w in words]
-    proper, trades, given = [], [], []
-    for i, w in enumerate(words):
-        if w in LEGAL or w == "and" or w.isdigit():
-            continue
-        if w in _NOTES and i:
-            continue
-        if (given_of(w) and not proper) or (w in _NICK and len(w) > 3):
-            given.append(w)
-        elif len(w) == 1:
-            given.append(w)
-        elif (t := trade_of(w)) is not None:
-            trades.append(t)
-        else:
-            proper.append(w)
-    # A word cut in two by a stray blank: join a scrap to its neighbour
-    while len(proper) > 2 and min(map(len, proper)) <= 4:
+    return [w for w in words if len(w) > 1 and w not in LEGAL and w != "and" and not w.isdigit()]
+
+
+def proper_words(words: list[str], generic: Generic) -> list[str]:
+    """The words that are not generic; a scrap that a stray blank cut off is joined to its neighbour."""
+    proper = [w for w in words if w not in generic]
+    while 2 < len(proper) <= 12 and min(map(len, proper)) <= 4:
         k = min(range(len(proper)), key=lambda j: len(proper[j]))
         other = k - 1 if k and (k == len(proper) - 1 or len(proper[k - 1]) <= len(proper[k + 1])) else k + 1
         lo, hi = sorted((k, other))
         proper[lo : hi + 1] = [proper[lo] + proper[hi]]
-    return proper, sorted(set(trades)), given
+    return proper
+
+
+def signature(proper: list[str]) -> tuple[str, str, str]:
+    """(a, b, rest): the two longest words in order, and all others together; '' where there are none."""
+    at = sorted(sorted(proper), key=len)
+    return (*([*sorted(at[-2:]), ""])[:2], "".join(at[:-2])) if at else ("", "", "")
 
 
 #: Street types and their forms (fixed values: postal street suffixes).
