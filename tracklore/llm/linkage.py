@@ -66,55 +66,38 @@ def _cons(c: str, n: int) -> str:
     return f"left(concat(left({c}, 1), translate(substring({c}, 2), 'aeiou', '')), {n})"
 
 
-def _hints(n: int) -> str:
-    """First consonants of either word, and of the name run together from it, as an array.
-
-    A name written as one run begins like one of the words of its other form, so one
-    word, or a run, is enough to meet.
-    """
-    parts = ", ".join(_cons(c, n) for c in ("a", "b", "concat(a, b)", "concat(b, a)"))
-    return f"array_distinct(filter(array({parts}), h -> h <> ''))"
-
-
-def _cells(side: str) -> Column:
-    """Keys of the cell of a usable position, and of it and its eight neighbours where a row may have to be found by position.
-
-    Position decides only where number, postal code and town are each missing on
-    either side; one of the two rows is then without number and one of the others, or
-    without both of those.
-    """
-    cells = lambda tag, around: f"flatten(transform(array_distinct(array_remove(array(left(a, 2), left(b, 2)), '')), h -> flatten(transform({around}, i -> transform({around}, j -> xxhash64({tag}, floor(lat / {CELL}) + i, floor(lon / {CELL}) + j, h))))))"
-    empty = F.array().cast("array<bigint>")
-    usable = usable_position(F.col("lat"), F.col("lon"))
-    loose = F.expr("number = '' and (zip = '' or town = '') or zip = '' and town = ''")
-    mine, other = (7, 8) if side == "y" else (8, 7)
-    around = F.when(usable & loose, F.expr(cells(mine, "sequence(-1, 1)"))).otherwise(empty)
-    return F.concat(around, F.when(usable, F.expr(cells(other, "array(0)"))).otherwise(empty))
-
-
-def _passes(side: str) -> Column:
-    """Keys of the blocking passes of a side; a pass whose parts are missing gives no key.
+def _keyed(p: DataFrame, side: str) -> DataFrame:
+    """(id, key): the keys of the blocking passes of a side; a pass whose parts are missing gives no key.
 
     Passes 1 and 2 ask for both words. One word or a run is enough where a row of the
     pair has no number (5 for places, 9 for companies): two rows with numbers are of
-    one site only if the numbers agree, and meet in the passes by number.
+    one site only if the numbers agree, and meet in the passes by number. A name
+    written as one run begins like one of the words of its other form, so its first
+    consonants meet those of a word. Position decides only where number, postal code and town are each missing on either
+    side; one of the two rows is then without number and one of the others, or without
+    both of those: that row looks around (7 for places, 8 for companies).
     """
-    both = f"least({_cons('a', 3)}, {_cons('b', 3)}), greatest({_cons('a', 3)}, {_cons('b', 3)})"
-    town = _cons("town", 3)
+    hints = {f"h{i}": f"nullif({_cons(c, 3)}, '')" for i, c in enumerate(("a", "b", "concat(a, b)", "concat(b, a)"))}
+    p = p.withColumns({k: F.expr(v) for k, v in hints.items()} | {"ht": F.expr(f"nullif({_cons('town', 3)}, '')"), "hz": F.expr("nullif(zip, '')"), "hn": F.expr("nullif(number, '')")})
+    p = p.withColumns({"h2": F.expr("nullif(nullif(h2, h0), h1)"), "h3": F.expr("nullif(nullif(h3, h0), h1)"), "h1": F.expr("nullif(h1, h0)")})
+    # a hash skips nulls, so the parts are asked for first
+    key = lambda tag, *parts: f"if({' and '.join(f'{x} is not null' for x in parts)}, xxhash64({tag}, {', '.join(parts)}), null)"
+    both = "concat(least(h0, coalesce(h1, if(b = '', '', h0))), '|', greatest(h0, coalesce(h1, if(b = '', '', h0))))"
     mine, other = (5, 9) if side == "y" else (9, 5)
-    one = lambda tag: f"concat(if(zip = '', array(), transform({_hints(3)}, h -> xxhash64({tag}, h, 'z', zip))), if(town = '', array(), transform({_hints(3)}, h -> xxhash64({tag}, h, 't', {town}))))"
-    several = [
-        one(other),
-        f"if(number = '', {one(mine)}, array())",
-        "if(number = '', array(), transform(array_distinct(filter(array(a, b, concat(a, b), concat(b, a)), w -> w <> '')), w -> xxhash64(6, w, number)))",
-    ]
-    passes = [
-        f"if(zip = '', null, xxhash64(1, {both}, zip))",
-        f"if(town = '', null, xxhash64(2, {both}, {town}))",
-        "if(zip = '' or number = '', null, xxhash64(3, number, zip))",
-        f"if(town = '' or number = '', null, xxhash64(4, number, {town}))",
-    ]
-    return F.expr(f"array_distinct(filter(concat(array({', '.join(passes)}), {', '.join(several)}), k -> k is not null))")
+    one = lambda tag: [key(tag, h, at) for h in ("h0", "h1", "h2", "h3") for at in ("hz", "ht")]
+    plain = [key(1, both, "hz"), key(2, both, "ht"), key(3, "hn", "hz"), key(4, "hn", "ht"), *one(other)]
+    words = ("a", "nullif(b, '')", "concat(a, nullif(b, ''))", "concat(b, nullif(a, ''))")
+    numbered = ", ".join(key(6, w if i < 3 else "concat(nullif(b, ''), a)", "hn") for i, w in enumerate(words))
+    wide = f"if(hn is null, array({', '.join(one(mine))}), array({numbered}))"
+    usable = usable_position(F.col("lat"), F.col("lon"))
+    p = p.withColumn("seen", usable).withColumn("ci", F.when(usable, F.floor(F.col("lat") / CELL))).withColumn("cj", F.when(usable, F.floor(F.col("lon") / CELL)))
+    around, here = (7, 8) if side == "y" else (8, 7)
+    heads = ("left(a, 2)", "nullif(nullif(left(b, 2), ''), left(a, 2))")
+    plain += [key(here, "ci", "cj", h) for h in heads]
+    loose = "seen and (number = '' and (zip = '' or town = '') or zip = '' and town = '')"
+    grid = ", ".join(key(around, f"ci + {i}", f"cj + {j}", h) for i in (-1, 0, 1) for j in (-1, 0, 1) for h in heads)
+    keys = F.expr(f"concat(array({', '.join(plain)}), {wide}, if({loose}, array({grid}), cast(array() as array<bigint>)))")
+    return p.select(F.col("id").alias(f"{side}_id"), F.explode(keys).alias("key")).where("key is not null")
 
 
 def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = None) -> Column:
@@ -202,12 +185,12 @@ def link(left: DataFrame, right: DataFrame) -> DataFrame:
     missing and never as agreement. Repeated rows count once. Empty tables give an
     empty result.
     """
-    sides = {s: cut(df.where(F.col("id").isNotNull()).distinct()) for s, df in (("x", left), ("y", right))}
+    sides = {s: df.where(F.col("id").isNotNull()) for s, df in (("x", left), ("y", right))}
     generic = learn_generic(name_parts(sides["x"].select("name").unionByName(sides["y"].select("name")), "name"))
-    sides = {s: cut(profile(df, generic)) for s, df in sides.items()}
+    sides = {s: cut(profile(df, generic).distinct()) for s, df in sides.items()}
     # only ids and keys meet in the join of the passes; the attributes join its distinct pairs
-    keyed = {s: p.select(F.col("id").alias(f"{s}_id"), F.explode(F.concat(_passes(s), _cells(s))).alias("key")).distinct() for s, p in sides.items()}
-    pairs = keyed["x"].join(keyed["y"], "key").select("x_id", "y_id").repartition("x_id").distinct()
+    # (one shuffle by x_id serves the distinct pairs and the join of the attributes)
+    pairs = _keyed(sides["x"], "x").join(_keyed(sides["y"], "y"), "key").select("x_id", "y_id").repartition("x_id").distinct()
     for s, p in sides.items():
         pairs = pairs.join(p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)), f"{s}_id")
     levels = [f"g_{f}" for f in LEVELS]

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -54,15 +55,16 @@ _SIG = "name string, words array<string>, a string, b string, ca string, cb stri
 
 
 def name_parts(rows: DataFrame, col: str) -> DataFrame:
-    """Distinct values of ``col`` with their words in order: (name, words). Names without a word are left out."""
+    """Distinct values of ``col`` of a scan with their words in order: (name, words). Names without a word are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words_of = lru_cache(100_000)(name_words)
         for pdf in batches:
-            pdf["words"] = [name_words(n) for n in pdf["name"]]
+            pdf["words"] = [words_of(n) for n in pdf["name"]]
             yield pdf[pdf["words"].map(len) > 0]
 
-    distinct = cut(rows.select(F.col(col).alias("name")).where(F.length(F.trim("name")) > 0).distinct())
-    return cut(spread(distinct).mapInPandas(run, "name string, words array<string>"))
+    typed = rows.select(F.col(col).alias("name")).where(F.length(F.trim("name")) > 0)
+    return cut(spread(typed).mapInPandas(run, "name string, words array<string>").groupBy("name").agg(F.first("words").alias("words")))
 
 
 def learn_generic(parts: DataFrame) -> Generic:
@@ -152,38 +154,52 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     strength = F.struct("n", "weight", "sid")
     keyed = left.select("sid", strength.alias("s"), F.explode(_keys()).alias("key"))
     to = right.select(F.col("sid").alias("to_sid"), strength.alias("to_s"), F.explode(_keys()).alias("key"))
-    pairs = keyed.join(to, "key").where((F.col("sid") != F.col("to_sid")) & (F.col("to_s") > F.col("s"))).select("sid", "to_sid").distinct()
+    pairs = keyed.join(to, "key").where((F.col("sid") != F.col("to_sid")) & (F.col("to_s") > F.col("s"))).select("sid", "to_sid").repartition("sid").distinct()
     side = lambda df, p: df.select(*(F.col(c).alias(f"{p}_{c}") for c in df.columns))
     pairs = pairs.join(side(left, "x"), F.col("sid") == F.col("x_sid")).join(side(right, "y"), F.col("to_sid") == F.col("y_sid"))
     solo, to_solo = F.col("x_b") == "", F.col("y_b") == ""
-    # one of the two is run together: as two words in either order, each with or without its vowels, against one
-    together = lambda p: [F.concat(f"{p}_{x}", f"{p}_{y}") for u, v in (("a", "b"), ("b", "a")) for x in (u, f"c{u}") for y in (v, f"c{v}")]
-    runs = lambda p: F.when(solo | to_solo, F.when(F.col(f"{p}_b") == "", F.array(f"{p}_a")).otherwise(F.array(*together(p))))
-    pairs = pairs.withColumns({"x_r": runs("x"), "y_r": runs("y")})
-    # two letters in eight of a run may be wrong; a form without vowels counts as that kind
-    near = "transform(x_r, (p, i) -> transform(y_r, (q, j) -> if(p = q, if(i % 4 + j % 4 > 0, 4, 0), if(levenshtein(p, q, 3) between 1 and 3, if(i % 4 + j % 4 > 0, 5, levenshtein(p, q, 3)), if(least(length(p), length(q)) >= 7 and (startswith(p, q) or startswith(q, p)), 6, 9)))))"
-    one = F.array_min(F.expr(f"filter(flatten({near}), k -> k < 9)"))
-    straight = _priced(_written("x_a", "y_a"), START) + _priced(_written("x_b", "y_b"), START)
-    crossed = _priced(_written("x_a", "y_b"), START) + _priced(_written("x_b", "y_a"), START)
-    turn = F.coalesce(crossed < straight, straight.isNull() & crossed.isNotNull(), F.lit(False))
-    # of more words, those that stand on one side only: one on each side may be an error, one alone left out
-    more = (F.size("x_words") > 2) | (F.size("y_words") > 2)
-    own, to_own = (F.array_except(f"{p}_words", f"{q}_words") for p, q in ("xy", "yx"))
-    pairs = pairs.withColumn("own", F.when(more, own)).withColumn("to_own", F.when(more, to_own)).withColumn("turn", turn & ~solo & ~to_solo & ~more)
-    mine, theirs = F.get("own", F.lit(0)), F.get("to_own", F.lit(0))
-    odd = F.size("own") + F.size("to_own")
-    other = F.when((odd == 0) | (odd == 1) & (F.least(F.size("x_words"), F.size("y_words")) > 1), 0).when((odd == 2) & theirs.isNotNull(), _error(mine, theirs, _bare(mine), _bare(theirs)))
-    word = lambda w: F.when(F.col("turn"), _written(f"x_{w}", f"y_{'ab'[w == 'a']}")).otherwise(_written(f"x_{w}", f"y_{w}"))
-    single = solo | to_solo
-    either = lambda w, alone, several: F.when(single, alone).when(more, several).otherwise(word(w))
-    slip = lambda w: F.when(single | more | (F.col(f"e{w}") == 0), 0.0).otherwise(ESTABLISHED * F.log(F.least(F.col(f"x_d{w}"), F.when(F.col("turn"), F.col(f"y_d{'ab'[w == 'a']}")).otherwise(F.col(f"y_d{w}"))).cast("double")))
-    pairs = pairs.withColumns({"ea": either("a", one, other), "eb": either("b", F.lit(0), F.lit(0))}).where("ea is not null and eb is not null")
-    fixed = slip("a") + slip("b") + F.when(more & ~single & (odd == 1), OMITTED).otherwise(0.0)
+    single, more = solo | to_solo, (F.size("x_words") > 2) | (F.size("y_words") > 2)
+    # each comparison is made once, and only where those before leave it open
+    pairs = pairs.withColumn("two", ~single & ~more)
+    pairs = _once(pairs, "aa", F.when(F.col("two"), _written("x_a", "y_a")))
+    pairs = _once(pairs, "bb", F.when(F.col("aa").isNotNull(), _written("x_b", "y_b")))
+    pairs = _once(pairs, "ab", F.when(F.col("two") & F.col("bb").isNull(), _written("x_a", "y_b")))
+    pairs = _once(pairs, "ba", F.when(F.col("ab").isNotNull(), _written("x_b", "y_a")))
+    pairs = _once(pairs, "alone", F.when(single, _together()).when(more, _several()))
+    pairs = pairs.withColumns({"ea": F.coalesce("alone", F.when(F.col("bb").isNotNull(), F.col("aa")).otherwise(F.col("ab"))), "eb": F.when(F.col("alone").isNotNull(), 0).otherwise(F.coalesce("bb", "ba"))})
+    pairs = pairs.where("ea is not null and eb is not null")
+    cross = F.col("bb").isNull()
+    slip = lambda w: F.when(~F.col("two") | (F.col(f"e{w}") == 0), 0.0).otherwise(ESTABLISHED * F.log(F.least(F.col(f"x_d{w}"), F.when(cross, F.col(f"y_d{'ab'[w == 'a']}")).otherwise(F.col(f"y_d{w}"))).cast("double")))
+    omitted = F.when(more & ~single & (F.size("x_words") != F.size("y_words")), OMITTED).otherwise(0.0)
     prior = FREQUENCY * F.log((F.col("y_n") + 1.0) / (F.col("x_n") + 1.0))
-    scored = pairs.select("sid", "to_sid", F.col("y_n").alias("to_n"), F.col("y_weight").alias("to_weight"), F.least("ea", "eb").cast("int").alias("e1"), F.greatest("ea", "eb").cast("int").alias("e2"), (solo != to_solo).alias("merged"), F.round(fixed - prior, 1).alias("fixed"))
+    fixed = F.round(slip("a") + slip("b") + omitted - prior, 1).alias("fixed")
+    scored = pairs.select("sid", "to_sid", F.col("y_n").alias("to_n"), F.col("y_weight").alias("to_weight"), F.least("ea", "eb").cast("int").alias("e1"), F.greatest("ea", "eb").cast("int").alias("e2"), (solo != to_solo).alias("merged"), fixed)
     return scored.where(F.col("fixed") < COINCIDENCE)
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that the planner cannot copy into each place where it is used."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def _together() -> Column:
+    """The kind of error between names one of which is run together: as two words in either order, each with or without vowels."""
+    forms = lambda p: F.when(F.col(f"{p}_b") == "", F.array(f"{p}_a")).otherwise(F.array(*(F.concat(f"{p}_{x}", f"{p}_{y}") for u, v in (("a", "b"), ("b", "a")) for x in (u, f"c{u}") for y in (v, f"c{v}"))))
+    # every form but the first and the fifth lacks vowels
+    kind = lambda p, q, bare: F.when(p == q, F.when(bare, 4).otherwise(0)).when(F.levenshtein(p, q, 3) == 1, F.when(bare, 5).otherwise(1)).when(F.levenshtein(p, q, 3) >= 2, F.when(~bare, F.levenshtein(p, q, 3)))
+    cut_off = lambda p, q: F.when((F.least(F.length(p), F.length(q)) >= 7) & (F.startswith(p, q) | F.startswith(q, p)), 6)
+    both = F.transform(forms("x"), lambda p, i: F.transform(forms("y"), lambda q, j: F.coalesce(kind(p, q, (i % 4 > 0) | (j % 4 > 0)), cut_off(p, q))))
+    return F.array_min(F.flatten(both))
+
+
+def _several() -> Column:
+    """The kind of error between names of which one has more than two words: a single word may differ, or be left out."""
+    own, to_own = (F.array_except(f"{p}_words", f"{q}_words") for p, q in ("xy", "yx"))
+    mine, theirs, odd = F.get(own, F.lit(0)), F.get(to_own, F.lit(0)), F.size(own) + F.size(to_own)
+    same = (odd == 0) | (odd == 1) & (F.least(F.size("x_words"), F.size("y_words")) > 1)
+    return F.when(same, 0).when((odd == 2) & mine.isNotNull() & theirs.isNotNull(), _error(mine, theirs, _bare(mine), _bare(theirs)))
+
+
 def fit_channel(patterns: list[tuple[int, int, bool, float, float]]) -> tuple[tuple[float, ...], float]:
     """(cost of each kind of error, cost of words run together) by expectation-maximisation.
 
