@@ -1,18 +1,23 @@
 """Template residue, filler, error pages and notices in texts.
 
-Texts are cut into segments (lines and sentences). Three kinds of evidence exclude
-a document:
+Texts are cut into segments (lines and sentences) and read once. Four kinds of
+evidence exclude a document:
 
 * Slots. Records of the same template are aligned at their constant words: names,
   numbers and markers are masked, and a masked position whose filler differs between
   records with the same words around it is a slot. A slot that keeps a marker, a
   default or a blank is unfilled. A marker that stands alike in all records with
   these words is part of the sentence: a text about markers.
-* Pages. Templates of error messages and notices, found as whole segments.
+* Pages. Templates of whole pages in place of content are induced: wordings that come
+  again in several texts, mostly in texts that are hardly longer than the wording.
+  Sentences of content come again too, but in texts of all lengths. The language and
+  the words do not matter. Output of programs is known by its syntax as well.
 * Filler. Words that keep company with dummy Latin all over the corpus; segments
   made of them; and repeated words or letters in place of text.
+* Blank forms.
 
-Every text is read whole; the corpus statistics cover all documents.
+Every text is read whole; the corpus statistics cover all documents, and copies of a
+text count once.
 """
 
 from __future__ import annotations
@@ -33,29 +38,26 @@ MARKER = re.compile(
     r"|\bNULL\b|\bundefined\b|\bNaN\b(?: (?:mi|km|ft|m)\b)?|\?{4,}|\bX{2,}(?:/X{2,})+|\b[dm]{2}/[dm]{2}/y{2,4}\b|_{4,}(?: ?\([\w ]+\))?|\((?:enter|fill in|insert|add|type)\b[^)]{0,60}\)"
     r"|\b(?:COMPANY|SITE|CITY|STATE|SHIPPER|YOUR) NAME\b|\b(?:[Yy]our|[Aa]dd|[Ii]nsert|[Ee]nter|[Tt]ype) [\w ]{1,40}\bhere\b|\b[Rr]eplace this text(?: with [\w ]{1,40}?(?=[.,;]|$))?"
 )
-#: Error messages and notices in place of content (fixed values: phrases that servers, scripts and sites print).
-PAGE = re.compile(
-    r"traceback \(most recent call last\)|\b\w+error: ['\"]|exception in thread|\w+\.\w*exception\b|\bat [\w.]+\(\w+\.java:\d+\)|segmentation fault|core dumped|^panic:|^goroutine \d+|stack trace:"
-    r"|^(?:warning|notice|fatal(?: error)?|parse error|runtime error|error|exception)\s?:|\[(?:error|fatal|critical)\]|\bon line \d+\s*$|allowed memory .{0,40}exhausted"
-    r"|http error \d{3}|^(?:error )?[45]\d\d\b[\s:-]*(?:-\s*)?(?:page|not found|forbidden|bad|unauthori[sz]ed|internal|service|gateway|moved|gone|error|access|too many)|internal server error|bad gateway|service unavailable|gateway time-?out"
-    r"|did not answer in time\. request id|\"(?:error|status)\"\s*:\s*(?:\{|\"(?:over_limit|error|fail|denied|invalid))|<error>|over_?(?:query_)?limit\b|daily quota reached|rate limit exceeded|request id [0-9a-f]{6,}|ray (?:id )?[0-9a-f]{6,}"
-    r"|database connection failed|connection (?:reset|refused|timed out)|could not (?:reach|connect to) (?:host|server)|query timed out|\bfetch failed\b|unable to load\b|failed to load\b|could not be checked, so"
-    r"|interner serverfehler|sp[aä]ter erneut versuchen|seite (?:wurde )?nicht gefunden|ha producido un error|vuelva a intentarlo|p[aá]gina no (?:encontrada|existe)|page introuvable|n'existe plus|erreur (?:interne|du serveur)|veuillez r[eé]essayer"
-    r"|page (?:you requested )?(?:was |is )?not found|(?:page|photo|listing|document|site sheet|report|list|map|file|item) you (?:requested|are looking for)|does not exist or has been moved|is no longer available|may have been taken down|has left the station"
-    r"|you lack permission|access (?:is )?denied|permission denied|not (?:offered|available) in your (?:country|region)|your browser is not supported|update (?:it|your browser) to (?:open|view)|outdated browser"
-    r"|(?:enable|activate|turn on|allow) (?:java)?scripts?\b|javascript (?:is|must be|has to be) (?:disabled|off|enabled|required|turned off|needed)|(?:aktivieren sie|activer|active|habilite|active el) javascript|requires? javascript|<noscript>|with scripts off|scripts (?:are|is) (?:required|disabled)"
-    r"|(?:this|our) (?:page|site|website|map) uses cookies|accept all(?: cookies)?\b|(?:enable|allow|accept) (?:all )?cookies to|permitir las cookies|accepter (?:les|tous les) cookies|cookies (?:zulassen|akzeptieren|aktivieren)|we value your privacy|\bpartners store data|cookies? (?:settings|policy|preferences)"
-    r"|session has (?:ended|expired|timed out)|sign in (?:again )?to |log ?in to (?:see|view|continue|read|open)|please (?:sign|log) in\b|subscribe or sign in|(?:members|subscribers) only|free articles|connectez-vous|melden sie sich an|inicie sesi[oó]n|anmelden, um"
-    r"|verify (?:your connection|you are|that you are)|verifying you|checking your browser|security check to|not a robot\b|are you (?:a )?(?:human|robot)|captcha|unusual traffic|robot check|kein roboter|no (?:es|eres) un robot|pas un robot"
-    r"|redirecting you|click here if nothing happens|if nothing appears, |ad ?blocker|^loading\.\.\.|please wait while we|site (?:is )?under (?:construction|maintenance)|back (?:online )?soon|scheduled maintenance|try again later|^server (?:is )?busy|document\.write\(|window\.__\w+",
+#: Output of programs in place of content (fixed values: syntax of stack traces, logs, responses and scripts).
+SYNTAX = re.compile(
+    r"traceback \(most recent call last\)|\b\w+(?:error|exception)\b(?::|$)|\bat [\w.$]+\([\w.]+:\d+\)|^goroutine \d+|^panic:|segmentation fault|\bhttp(?:/\d\.\d| error) [45]\d\d\b"
+    r"|^(?:warning|notice|fatal(?: error)?|parse error|runtime error|error|exception) ?:|\[(?:error|fatal|critical)\]|\bon line \d+$|</?(?:error|noscript)>|\"(?:error|status)\": ?[{\"]|document\.write\(|window\.__\w+ ?=",
     re.I,
 )
+_SYNTAX_PARTS = ("traceback", "error", "exception", "(", "goroutine", "panic", "fault", "warning", "notice", "fatal", "on line", "<noscript", "status", "window")
+#: A page template: so many words at the start or end of a segment, or all of one without names and numbers, in at
+#: least so many distinct texts; and the least share of them, at the lower end of its error, that are no longer than so
+#: many characters: for a part, a whole segment, and one where a word has a capital and may be a name.
+ANCHOR, PAGE_TEXTS, PAGE_CHARS = 4, 3, 250
+PART_SHARE, WHOLE_SHARE, NAMED_SHARE = 0.4, 0.3, 0.6
+#: A line of links between separators.
+_LINKS = re.compile(r"\S\s*[|>/»·]\s.*\s[|>/»·]\s*\S")
 #: Words before a message that make it a quotation (fixed values).
 _MENTION = re.compile(r"[\"“«]|\b(?:says?|said|notes?|noted|reads?|heading|printed|painted|sign|bulletin|letters?|train|words?|titled|called|quotes?|quoted|reported|means?)\b", re.I)
-#: Segments that stand for text without being any (fixed values).
-DUMMY = re.compile(r"\b(?:sample|dummy|placeholder|example|filler) text\b(?! (?:was|is|of|that|in|from|which))|\btext (?:for layout only|goes here)|\b([a-z])\1{2,}(?: ([a-z])\2{2,}){2,}|\b(?:asdf|qwer|lkj|zxcv|hjkl)\w*(?: \w+){0,2} (?:asdf|qwer|lkj|zxcv|hjkl)", re.I)
+#: Letters or keys in place of words.
+DUMMY = re.compile(r"\b([a-z])\1{2,}(?: ([a-z])\2{2,}){2,}|\b(?:asdf|qwer|lkj|zxcv|hjkl)\w*(?: \w+){0,2} (?:asdf|qwer|lkj|zxcv|hjkl)", re.I)
 _REPEAT = re.compile(r"\b(\w{2,})(?:[ .,]+\1\b){3,}", re.I)
-_KEYS = ("asdf", "qwer", "lkj", "zxcv", "hjkl", "bbb", "xxx")
+_KEYS = re.compile(r"asdf|qwer|lkj|zxcv|hjkl|([a-z])\1\1")
 #: Words of dummy Latin that start the filler vocabulary (fixed values).
 SEEDS = frozenset("lorem ipsum dolor consectetur adipiscing eiusmod incididunt".split())
 #: A word is filler if at least this share of its segments are mostly filler, a segment if this share of its words is.
@@ -69,18 +71,11 @@ _SPLIT = re.compile(r"\n+|(?<=[.!?])\s+(?=[^a-zà-ÿ])")
 _NAME = re.compile(r"[A-ZÀ-Þ](?:[\w'.-]*\w)?(?:\s+(?:&\s+|and\s+)?[A-ZÀ-Þ](?:[\w'.-]*\w)?)*|\d(?:[\d.,:/-]*\d)?")
 _WORD = re.compile(r"[^\W\d_]+")
 
-#: Parts of which every page message has one, every marker another: a quick look before the patterns (fixed values).
-_PAGE_PARTS = (
-    "traceback|error|exception|.java:|segmentation|core dumped|panic:|goroutine|stack trace|warning|notice|fatal|[critical]|on line |exhausted|not found|forbidden|unauthori|internal|service|gateway|moved|gone|access|too many|"
-    "bad|page|limit|quota|request id|ray |database|connection|could not |timed out|fetch failed|unable to|failed to|serverfehler|versuchen|seite|ha producido|intentarlo|página|pagina|introuvable|existe plus|erreur|"
-    "réessayer|reessayer|you requested|looking for|does not exist|no longer available|taken down|has left the|permission|not offered|not available|browser|script|cookie|privacy|store data|accept all|session has|sign in|log in|login|members|"
-    "subscribers|free articles|connectez|melden sie|inicie|anmelden|verify|not a robot|robot|captcha|unusual traffic|redirecting|nothing happens|nothing appears|ad blocker|adblocker|loading...|please |security check|construction|maintenance|"
-    "update |human|back soon|back online|again later|server|document.write|window.__|over_limit|overlimit|over_query|denied|<noscript|\"status\"|checking"
-).split("|")
+#: What every marker has a part of: a quick look before the pattern.
 _MARK_PARTS = re.compile(r"[{<$%@#«\[~&?_]|NULL|undefined|NaN|XX|[dm]{2}/|\((?:enter|fill|insert|add|type)| NAME|here\b|eplace this")
 _BUSY = re.compile(r"[A-ZÀ-Þ\d]")
 
-_OUT = "doc_id long, kind string, skeleton string, slot int, filler string, marker boolean, segment int"
+_OUT = "doc_id long, copy long, kind string, context string, value string, marker boolean, segment int, words array<string>"
 
 
 def segments(text: str) -> list[str]:
@@ -119,10 +114,37 @@ def skeleton(segment: str, marked: bool = True) -> list[tuple[str, str, bool]]:
 
 
 def _is_dummy(segment: str, low: str) -> bool:
-    """Words or letters in place of text; the patterns look only where words come again or a text is named."""
-    words = low.replace(".", " ").replace(",", " ").split()
+    """Words or letters in place of text; the patterns look only where words or letters come again."""
+    words = _WORD.findall(low)
     again = len(words) >= 4 and len(set(words)) <= len(words) - 3
-    return (again and _REPEAT.search(segment) is not None) or (("text" in low or "aaa" in low or any(k in low for k in _KEYS)) and DUMMY.search(segment) is not None)
+    return (again and _REPEAT.search(segment) is not None) or (_KEYS.search(low) is not None and DUMMY.search(segment) is not None)
+
+
+def anchors(segment: str) -> list[str]:
+    """The first and last words of a segment, or all of a short one, by which copies of its template are known.
+
+    Numbers are masked; a word with a capital after the first is marked, for it may be a
+    name. Segments without two words that are no number, fields with a short value or none, and
+    lines of links have none.
+    """
+    if (m := _FIELD.match(segment)) and len(m[1].split()) < ANCHOR or _LINKS.search(segment):
+        return []
+    words = (segment.lower() if segment.isupper() else segment).split()
+    short = len(words) <= ANCHOR
+
+    def part(tag: str, start: int, chosen: list[str]) -> list[str]:
+        shown = ["#" if any(c.isdigit() for c in w) else f"§{w.lower()}" if start + i and w[0].isupper() else w.lower() for i, w in enumerate(chosen)]
+        return [tag + " ".join(shown)] if sum(w != "#" for w in shown) >= min(2, len(shown)) else []
+
+    if short:
+        return part("=", 0, words)
+    ends = part("^", 0, words[:ANCHOR]) + part("$", len(words) - ANCHOR, words[-ANCHOR:])
+    return ends + ([] if _BUSY.search(" ".join(words), 1) else part("=", 0, words))
+
+
+def is_page(text: str) -> bool:
+    """True for a text no longer than a notice that is no filled form."""
+    return len(text) <= PAGE_CHARS and sum(1 for line in text.split("\n") if (m := _FIELD.match(line)) and not _EMPTY.match(m[1])) < 2
 
 
 def form_is_blank(text: str) -> bool:
@@ -138,68 +160,90 @@ def form_is_blank(text: str) -> bool:
 
 
 def _evidence(docs: DataFrame) -> DataFrame:
-    """Rows of evidence of the documents: pages, dummies and forms outright, slots and filler to be weighed."""
+    """Rows of evidence of the documents (doc_id, text), from one reading of the texts.
+
+    form, syntax and dummy stand for themselves. slot: a masked position of a segment with
+    a marker. fill: one of a segment without, once for each batch. anchor: a template by
+    its wording, ``marker`` telling whether the text is a page. latin: the words of a
+    segment without names and numbers.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+            out: list[tuple] = []
+            filled: set[tuple[str, str]] = set()
+            for doc, copy, text in zip(pdf["doc_id"], pdf["copy"], pdf["text"], strict=True):
                 if form_is_blank(text):
-                    out.append((doc, "form", "", 0, "", False, 0))
-                low = text.lower()
-                parts = [p for p in _PAGE_PARTS if p in low]
+                    out.append((doc, copy, "form", "", "", False, 0, None))
+                page = is_page(text)
+                low_text = text.lower()
+                program = any(p in low_text for p in _SYNTAX_PARTS)
                 marked = _MARK_PARTS.search(text) is not None
+                wordings: set[str] = set()
                 for k, s in enumerate(segments(text)):
                     low = s.lower()
-                    if any(p in low for p in parts) and (m := PAGE.search(s)) and not _MENTION.search(s[: m.start()]):
-                        out.append((doc, "page", "", 0, "", False, k))
+                    wordings.update(anchors(s))
+                    if program and (m := SYNTAX.search(s)) and not _MENTION.search(s[: m.start()]):
+                        out.append((doc, copy, "syntax", "", "", False, k, None))
                     elif _is_dummy(s, low):
-                        out.append((doc, "dummy", "", 0, "", False, k))
+                        out.append((doc, copy, "dummy", "", "", False, k, None))
                     if marked and _MARK_PARTS.search(s) and MARKER.search(s):
-                        out += [(doc, "slot", context, 0, f, mark, k) for context, f, mark in skeleton(s)]
+                        out += [(doc, copy, "slot", context, f, mark, k, None) for context, f, mark in skeleton(s)]
+                    elif _BUSY.search(s):
+                        filled.update((context, f) for context, f, _ in skeleton(s, False))
+                    if _is_plain(s) and len(words := _WORD.findall(low)) >= LEAST_WORDS:
+                        out.append((doc, copy, "latin", "", "", False, k, words))
+                out += [(doc, copy, "anchor", x, "", page, 0, None) for x in wordings]
+            out += [(None, None, "fill", context, f, False, 0, None) for context, f in filled]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
 
-    return spread(docs).mapInPandas(run, _OUT)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")
+    found = spread(rows).mapInPandas(run, _OUT)
+    return found.withColumns({"named": F.contains("context", F.lit("§")), "head": F.left("context", F.lit(1)), "context": F.xxhash64("context"), "value": F.xxhash64("value")})
 
 
-def _filled(docs: DataFrame) -> DataFrame:
-    """Contexts of the names and numbers in segments without a marker, as (context, value) hashes."""
+def _is_plain(segment: str) -> bool:
+    """No name or number within: no digit, and no capital after the first word unless all are capitals."""
+    if segment.isupper():
+        return not any(c.isdigit() for c in segment)
+    first = _WORD.search(segment)
+    return first is not None and _BUSY.search(segment, first.start() + 1) is None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            seen = set()
-            for text in pdf["text"]:
-                for s in segments(text):
-                    if _BUSY.search(s) and not (_MARK_PARTS.search(s) and MARKER.search(s)):
-                        seen.update((context, f) for context, f, _ in skeleton(s, False))
-            yield pd.DataFrame(sorted(seen), columns=["skeleton", "filler"])
 
-    parts = spread(docs).mapInPandas(run, "skeleton string, filler string")
-    return parts.select(F.xxhash64("skeleton").alias("context"), F.xxhash64("filler").alias("value"))
+def _open_slots(evidence: DataFrame) -> DataFrame:
+    """Documents with an unfilled slot."""
+    slots = evidence.where("kind = 'slot'")
+    marked = slots.where("marker").select("context").distinct()
+    filled = evidence.where("kind = 'fill'").join(marked, "context", "left_semi").select("context", "value", F.lit(None).cast("long").alias("copy"))
+    # a position is a slot if its filler differs between records of the same context, filled ones among them
+    aligned = slots.select("context", "value", "copy").unionByName(filled)
+    fillers = aligned.groupBy("context").agg(F.count_distinct("value").alias("values"), F.count_distinct("copy").alias("records"))
+    several = slots.groupBy("doc_id", "segment").agg(F.count_if("marker").alias("markers"))
+    weighed = slots.where("marker").join(fillers, "context").join(several, ["doc_id", "segment"])
+    # a context seen in one record cannot be aligned: two markers in the segment speak for a
+    # template; the same markers in several records, and filled in none, are a text about markers
+    return weighed.where((F.col("values") > 1) | ((F.col("records") == 1) & (F.col("markers") > 1))).select("doc_id")
+
 
+def _pages(evidence: DataFrame) -> DataFrame:
+    """Documents with a wording of an induced page template."""
+    wordings = evidence.where("kind = 'anchor'").select("doc_id", "copy", "context", F.col("marker").alias("page"), "named", "head")
+    once = wordings.select("context", "copy", "page", "named", "head").distinct()
+    # the share of pages with its error: a wording seen in few texts must stand in nearly none but pages
+    seen = once.groupBy("context").agg(F.count(F.lit(1)).alias("texts"), F.count_if("page").alias("pages"), F.max("named").alias("named"), F.max(F.col("head") == "=").alias("whole"))
+    seen = seen.where(F.col("texts") >= PAGE_TEXTS).withColumn("p", (F.col("pages") + 0.5) / (F.col("texts") + 1))
+    least = F.when(F.col("named"), NAMED_SHARE).when(F.col("whole"), WHOLE_SHARE).otherwise(PART_SHARE)
+    seen = seen.where(F.col("p") - 2 * F.sqrt(F.col("p") * (1 - F.col("p")) / (F.col("texts") + 1)) >= least)
+    # within a longer text only a segment that begins with the wording has it: others may quote it
+    return wordings.where("page or head <> '$'").join(seen.select("context"), "context", "left_semi").select("doc_id")
 
-def _filler_docs(docs: DataFrame) -> DataFrame:
-    """Documents with a segment of dummy Latin; its vocabulary is learnt from the whole corpus."""
 
-    def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
-                for s in segments(text):
-                    # filler has no names or numbers within; this keeps ordinary prose out early
-                    if s.isupper():
-                        s = s.lower()
-                    if _BUSY.search(s, 1):
-                        continue
-                    words = _WORD.findall(s)
-                    if len(words) >= LEAST_WORDS:
-                        rows.append((doc, [w.lower() for w in words]))
-            yield pd.DataFrame(rows, columns=["doc_id", "words"])
-
-    parts = spread(docs).mapInPandas(cut_up, "doc_id long, words array<string>").withColumn("shape", F.array_sort(F.array_distinct("words")))
-    parts = cut(parts.groupBy("shape").agg(F.collect_set("doc_id").alias("docs"), F.first("words").alias("words"), F.count(F.lit(1)).alias("n")).withColumn("sid", F.xxhash64("shape")))
+def _filler_docs(evidence: DataFrame) -> DataFrame:
+    """Documents with a segment of dummy Latin; its vocabulary is learnt from the whole corpus."""
+    said = evidence.where("kind = 'latin'").select("doc_id", F.array_sort(F.array_distinct("words")).alias("shape")).withColumn("sid", F.xxhash64("shape"))
+    parts = cut(said.groupBy("sid").agg(F.first("shape").alias("shape")))
     words = parts.select("sid", F.explode("shape").alias("w"))
-    seeds = docs.sparkSession.createDataFrame([(w,) for w in sorted(SEEDS)], "w string")
+    seeds = evidence.sparkSession.createDataFrame([(w,) for w in sorted(SEEDS)], "w string")
     vocabulary = seeds
     for k in range(3):
         hits = words.join(vocabulary, "w").groupBy("sid").agg(F.count(F.lit(1)).alias("k"))
@@ -213,34 +257,19 @@ def _filler_docs(docs: DataFrame) -> DataFrame:
         kept = by_word.where((F.col("p") >= LIFT * F.col("base")) & (F.col("p") >= 0.1)) if k == 0 else by_word.where(F.col("p") >= WORD_SHARE)
         vocabulary = cut(kept.select("w").union(seeds).distinct())
     hits = words.join(vocabulary, "w").groupBy("sid").agg(F.count(F.lit(1)).alias("k"))
-    bad = parts.join(hits, "sid").where(F.col("k") >= SEGMENT_SHARE * F.size("shape"))
-    return bad.select(F.explode("docs").alias("doc_id")).distinct()
+    bad = parts.join(hits, "sid").where(F.col("k") >= SEGMENT_SHARE * F.size("shape")).select("sid")
+    return said.select("doc_id", "sid").join(bad, "sid", "left_semi").select("doc_id")
 
 
 def residue_evidence(docs: DataFrame) -> DataFrame:
-    """(doc_id, kind) of all documents to exclude, with the kinds of evidence: form, page, dummy, slot, filler.
+    """(doc_id, kind) of all documents to exclude, with the kinds of evidence: form, syntax, page, dummy, slot, filler.
 
     ``docs`` has doc_id and text. Null and blank texts are no case. Copies of a text
-    are read once and share the result. Other columns are ignored; an empty table
-    gives an empty result.
+    share the result and count once in the statistics. Other columns are ignored; an
+    empty table gives an empty result.
     """
-    texts = docs.select("doc_id", "text").where(F.length(F.trim("text")) > 0)
-    copies = texts.select("doc_id", F.xxhash64("text").alias("h"), F.sha2("text", 256).alias("sha")).select("doc_id", F.concat(F.col("h").cast("string"), "sha").alias("copy"))
-    once = texts.withColumn("copy", F.concat(F.xxhash64("text").cast("string"), F.sha2("text", 256))).groupBy("copy").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
-    evidence = cut(_evidence(once.select("doc_id", "text")))
-    slots = evidence.where("kind = 'slot'")
-    slots = slots.withColumn("context", F.xxhash64("skeleton")).withColumn("value", F.xxhash64("filler"))
-    # a position is a slot if its filler differs between records of the same context, filled ones among them
-    marked = slots.where("marker").select("context").distinct()
-    filled = _filled(once.select("doc_id", "text")).distinct().join(marked, "context", "left_semi")
-    aligned = slots.select("context", "value", "doc_id").unionByName(filled.withColumn("doc_id", F.lit(None).cast("long")))
-    fillers = aligned.groupBy("context").agg(F.count_distinct("value").alias("values"), F.count_distinct("doc_id").alias("records"))
-    several = slots.groupBy("doc_id", "segment").agg(F.count_if("marker").alias("markers"))
-    weighed = slots.where("marker").join(fillers, "context").join(several, ["doc_id", "segment"])
-    # a context seen in one record cannot be aligned: two markers in the segment speak for a
-    # template; the same markers in several records, and filled in none, are a text about markers
-    open_slots = weighed.where((F.col("values") > 1) | ((F.col("records") == 1) & (F.col("markers") > 1)))
-    found = open_slots.select("doc_id", F.lit("slot").alias("kind")).unionByName(evidence.where("kind <> 'slot'").select("doc_id", "kind"))
-    found = found.unionByName(_filler_docs(once.select("doc_id", "text")).select("doc_id", F.lit("filler").alias("kind"))).distinct()
-    first = once.select("copy", F.col("doc_id").alias("first"))
-    return copies.join(first, "copy").join(found.withColumnRenamed("doc_id", "first"), "first").select("doc_id", "kind")
+    evidence = cut(_evidence(docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & (F.length(F.trim("text")) > 0))))
+    found = evidence.where("kind in ('form', 'syntax', 'dummy')").select("doc_id", "kind")
+    for kind, rows in (("slot", _open_slots(evidence)), ("page", _pages(evidence)), ("filler", _filler_docs(evidence))):
+        found = found.unionByName(rows.select("doc_id", F.lit(kind).alias("kind")))
+    return found.distinct()
