@@ -92,7 +92,10 @@ def test_leaks(spark):
 
 
 def test_residue(spark):
-    t = ["Dear {{ name }}, thank you for listing your track at Doon.", "Dear Anna, thank you for listing your track at %s.", "Dear [YOUR FIRM], thank you for listing your track at Zed.", "The letter uses {shipper} as a merge field, and Anna fills it.", "The letter uses {shipper} as a merge field, and Bob fills it.", "Please enable JavaScript to view the map.", "A plain sentence about cars.", None, " ", "Sample text for layout only.", "Company = \nCarrier: ....\nGoods: -\nCity:"]
-    docs = spark.createDataFrame([(i, x, "e") for i, x in enumerate([*t, t[5]])], "doc_id long, text string, kind string")
-    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0, 1, 2, 5, 9, 10, 11}
+    t = ["Dear {{ name }}, thank you for listing your track at Doon.", "Dear Anna, thank you for listing your track at %s.", "Dear [YOUR FIRM], thank you for listing your track at Zed.", "The letter uses {shipper} as a merge field, and Anna fills it.", "The letter uses {shipper} as a merge field, and Bob fills it.", "Please enable JavaScript to view the map.", "A plain sentence about cars.", None, " ", "aaaa bbb cccc dddd", "Company = \nCarrier: ....\nGoods: -\nCity:"]
+    # a notice is known by coming again: two more texts have it, and one long text talks of it
+    long = "\n".join(f"{w} cars stood at the {w} dock until the {w} crew came." for w in "red blue green black white grey brown pink gold amber".split())
+    t += [t[5], f"Doon Steel\n{t[5]}", f"Zed Mills\n{t[5]}", "The clerk read the notice aloud. " * 12 + f'It said "{t[5]}"', "Traceback (most recent call last):\n  File x", *(long.replace("cars", w) for w in ("wagons", "hoppers", "tanks", "flats"))]
+    docs = spark.createDataFrame([(i, x, "e") for i, x in enumerate(t)], "doc_id long, text string, kind string")
+    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0, 1, 2, 5, 9, 10, 11, 12, 13, 15}
     assert residue.residue_evidence(docs.limit(0)).count() == 0

@@ -5,7 +5,7 @@ import pytest
 from tracklore.llm.leaks import Index, tokens
 from tracklore.llm.linkage import fit, posterior
 from tracklore.llm.packing import plan
-from tracklore.llm.residue import MARKER, PAGE, form_is_blank, segments, skeleton
+from tracklore.llm.residue import MARKER, SYNTAX, anchors, form_is_blank, is_page, segments, skeleton
 from tracklore.llm.textnorm import Generic, edits, is_placeholder, name_words, parse_address, proper_words, signature, state_of, town_of, zip_of
 
 
@@ -120,7 +120,12 @@ def test_markers_and_pages():
     for s in ("{{ name }}", "${x:-y}", "%s", "[INSERT ADDRESS]", "«Name_of_shipper»", "&lt;name&gt;", "XX/XX/XXXX", "dd/mm/yyyy", "?????", "[object Object]", "COMPANY NAME"):
         assert MARKER.search(f"Dear {s}, thank you"), s
     assert not MARKER.search("Dear Anna, it is 5 % of $20 (two cars) at 12:30.")
-    assert PAGE.search("Please enable JavaScript to view the map.") and PAGE.search("HTTP ERROR 505") and not PAGE.search("The robot near bay 404 was not in use.")
+    assert SYNTAX.search("KeyError: 'x'") and SYNTAX.search("HTTP ERROR 505") and not SYNTAX.search("The robot near bay 404 was not in use.")
+    wording = lambda s: anchors(s, s.split())
+    assert wording("Server busy.") == ["=server busy."] and wording("City: ") == wording("Home | Maps | Contact us") == wording("404") == []
+    assert wording("PLEASE WAIT WHILE WE CHECK NO. 12") == ["^please wait while we", "$we check no. #", "=please wait while we check no. #"]
+    assert wording("Bitte aktivieren Sie JavaScript in Doon")[0] == "^§bitte aktivieren sie javascript"
+    assert is_page("Server busy.") and not is_page("x" * 300) and not is_page("Goods: coal\nCity: Doon")
     assert form_is_blank("Company = \nCarrier: ....\nGoods: -\nCity:") and not form_is_blank("Scale: yes\nTrack: 564 ft\nCity:")
     assert segments("") == [] and segments("- A b. C d\n\n06-22 02:36  E") == ["A b.", "C d", "E"]
     assert [x[1:] for x in skeleton("Dear %s, hello Anna")] == [("Dear", False), ("%s", True), ("Anna", False)]

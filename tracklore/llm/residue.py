@@ -5,9 +5,10 @@ evidence exclude a document:
 
 * Slots. Records of the same template are aligned at their constant words: names,
   numbers and markers are masked, and a masked position whose filler differs between
-  records with the same words around it is a slot. A slot that keeps a marker, a
-  default or a blank is unfilled. A marker that stands alike in all records with
-  these words is part of the sentence: a text about markers.
+  records with the same words around it is a slot, and so is one in a segment whose
+  constant ends come again around other fillings. A slot that keeps a marker, a default
+  or a blank is unfilled. A marker that stands alike in all records with these words
+  is part of the sentence: a text about markers.
 * Pages. Templates of whole pages in place of content are induced: wordings that come
   again in several texts, mostly in texts that are hardly longer than the wording.
   Sentences of content come again too, but in texts of all lengths. The language and
@@ -44,12 +45,14 @@ SYNTAX = re.compile(
     r"|^(?:warning|notice|fatal(?: error)?|parse error|runtime error|error|exception) ?:|\[(?:error|fatal|critical)\]|\bon line \d+$|</?(?:error|noscript)>|\"(?:error|status)\": ?[{\"]|document\.write\(|window\.__\w+ ?=",
     re.I,
 )
-_SYNTAX_PARTS = ("traceback", "error", "exception", "(", "goroutine", "panic", "fault", "warning", "notice", "fatal", "on line", "<noscript", "status", "window")
+_SYNTAX_PARTS = ("traceback", "error", "exception", "goroutine", "panic", "fault", "warning", "notice", "fatal", "on line", "<noscript", "status", "window")
 #: A page template: so many words at the start or end of a segment, or all of one without names and numbers, in at
 #: least so many distinct texts; and the least share of them, at the lower end of its error, that are no longer than so
 #: many characters: for a part, a whole segment, and one where a word has a capital and may be a name.
 ANCHOR, PAGE_TEXTS, PAGE_CHARS = 4, 3, 250
 PART_SHARE, WHOLE_SHARE, NAMED_SHARE = 0.4, 0.3, 0.6
+#: The same as a multiple of the share of short texts over all wordings.
+PAGE_LIFT = 2.0
 #: A line of links between separators.
 _LINKS = re.compile(r"\S\s*[|>/»·]\s.*\s[|>/»·]\s*\S")
 #: Words before a message that make it a quotation (fixed values).
@@ -74,6 +77,9 @@ _WORD = re.compile(r"[^\W\d_]+")
 #: What every marker has a part of: a quick look before the pattern.
 _MARK_PARTS = re.compile(r"[{<$%@#«\[~&?_]|NULL|undefined|NaN|XX|[dm]{2}/|\((?:enter|fill|insert|add|type)| NAME|here\b|eplace this")
 _BUSY = re.compile(r"[A-ZÀ-Þ\d]")
+_CAPITAL, _DIGIT, _NUMBER = re.compile(r"(?<!\S)[A-ZÀ-Þ]"), re.compile(r"\d"), re.compile(r"\S*\d\S*")
+_FRAME = re.compile(r":\d+\)")
+_CLOSING = ".,;:!?)\"'”»"
 
 _OUT = "doc_id long, copy long, kind string, context string, value string, marker boolean, segment int, words array<string>"
 
@@ -83,13 +89,13 @@ def segments(text: str) -> list[str]:
     return [s for s in (_LEAD.sub("", x.strip()) for x in _SPLIT.split(text)) if s]
 
 
-def skeleton(segment: str, marked: bool = True) -> list[tuple[str, str, bool]]:
-    """The maskable positions of a segment: (context, filler, whether it is a marker).
+def skeleton(segment: str) -> list[tuple[str, str, bool]]:
+    """The maskable positions of a segment with markers: (context, filler, whether it is a marker).
 
     The context is the two words on either side, with names and numbers masked as
     well; positions of the same context are aligned with each other.
     """
-    spans = [(m.start(), m.end(), True) for m in MARKER.finditer(segment)] if marked else []
+    spans = [(m.start(), m.end(), True) for m in MARKER.finditer(segment)]
     free, at = [], 0
     for a, b, _ in [*spans, (len(segment), len(segment), True)]:
         free += [(at + m.start(), at + m.end(), False) for m in _NAME.finditer(segment[at:a])]
@@ -100,46 +106,50 @@ def skeleton(segment: str, marked: bool = True) -> list[tuple[str, str, bool]]:
         pieces.append(segment[at:a].lower().split())
         at = b
     pieces.append(segment[at:].lower().split())
-    out = []
-    for k, (a, b, marker) in enumerate(spans):
-        left = ([*(["§"] if k else ["^"]), *pieces[k]])[-2:]
-        right = ([*pieces[k + 1], *(["§"] if k + 1 < len(spans) else ["$"])])[:2]
-        out.append((" ".join(left) + " § " + " ".join(right), segment[a:b], marker))
-        # a name that fills a slot can run on from a constant word with a capital, or to one
-        if not marked:
-            words = segment[a:b].split()
-            out += [("§ § " + " ".join(right), " ".join(words[i:]), False) for i in range(1, len(words))]
-            out += [(" ".join(left) + " § §", " ".join(words[:i]), False) for i in range(1, len(words))]
-    return out
+    return [(" § ".join(_beside(pieces, k)), segment[a:b], marker) for k, (a, b, marker) in enumerate(spans)]
+
 
+def _beside(pieces: list[list[str]], k: int) -> tuple[str, str]:
+    """The two words before and after the masked position ``k`` between ``pieces``."""
+    left = ["§" if k else "^", *pieces[k]][-2:]
+    right = [*pieces[k + 1], "§" if k + 2 < len(pieces) else "$"][:2]
+    return " ".join(left), " ".join(right)
 
-def _is_dummy(segment: str, low: str) -> bool:
-    """Words or letters in place of text; the patterns look only where words or letters come again."""
-    words = _WORD.findall(low)
+
+def _is_dummy(segment: str, words: list[str], keys: bool) -> bool:
+    """Words or letters in place of text; the patterns look only where words come again or the text has runs of letters or keys."""
     again = len(words) >= 4 and len(set(words)) <= len(words) - 3
-    return (again and _REPEAT.search(segment) is not None) or (_KEYS.search(low) is not None and DUMMY.search(segment) is not None)
+    return (again and _REPEAT.search(segment) is not None) or (keys and DUMMY.search(segment) is not None)
 
 
-def anchors(segment: str) -> list[str]:
-    """The first and last words of a segment, or all of a short one, by which copies of its template are known.
+def anchors(segment: str, words: list[str]) -> list[str]:
+    """The first and last of a segment's words, or all of a short one, by which copies of its template are known.
 
-    Numbers are masked; a word with a capital after the first is marked, for it may be a
-    name. Segments without two words that are no number, fields with a short value or none, and
+    Numbers are masked; a wording with a capital after the first word is marked, for it may have a
+    name. Wordings without two words that are no number, fields with a short value or none, and
     lines of links have none.
     """
-    if (m := _FIELD.match(segment)) and len(m[1].split()) < ANCHOR or _LINKS.search(segment):
+    if (":" in segment or "=" in segment) and (m := _FIELD.match(segment)) and len(m[1].split()) < ANCHOR:
         return []
-    words = (segment.lower() if segment.isupper() else segment).split()
-    short = len(words) <= ANCHOR
-
-    def part(tag: str, start: int, chosen: list[str]) -> list[str]:
-        shown = ["#" if any(c.isdigit() for c in w) else f"§{w.lower()}" if start + i and w[0].isupper() else w.lower() for i, w in enumerate(chosen)]
-        return [tag + " ".join(shown)] if sum(w != "#" for w in shown) >= min(2, len(shown)) else []
-
-    if short:
-        return part("=", 0, words)
-    ends = part("^", 0, words[:ANCHOR]) + part("$", len(words) - ANCHOR, words[-ANCHOR:])
-    return ends + ([] if _BUSY.search(" ".join(words), 1) else part("=", 0, words))
+    if any(c in segment for c in "|/>·»") and _LINKS.search(segment):
+        return []
+    upper = segment.isupper()
+    if len(words) <= ANCHOR:
+        parts = [("=", 1, " ".join(words))]
+    else:
+        parts = [("^", 1, " ".join(words[:ANCHOR])), ("$", 0, " ".join(words[-ANCHOR:]))]
+        if upper or not _BUSY.search(segment, 1):
+            parts.append(("=", 1, segment))
+    out = []
+    for tag, start, text in parts:
+        named = not upper and _CAPITAL.search(text, start) is not None
+        shown = text.lower()
+        if _DIGIT.search(shown):
+            shown = _NUMBER.sub("#", shown)
+            if len(shown) - shown.count("#") * 2 < 3 or sum(w != "#" for w in shown.split()) < min(2, len(words)):
+                continue
+        out.append(tag + ("§" if named else "") + shown)
+    return out
 
 
 def is_page(text: str) -> bool:
@@ -163,38 +173,45 @@ def _evidence(docs: DataFrame) -> DataFrame:
     """Rows of evidence of the documents (doc_id, text), from one reading of the texts.
 
     form, syntax and dummy stand for themselves. slot: a masked position of a segment with
-    a marker. fill: one of a segment without, once for each batch. anchor: a template by
-    its wording, ``marker`` telling whether the text is a page. latin: the words of a
-    segment without names and numbers.
+    a marker. end: a wording at an end of such a segment without name or marker. anchor: a
+    template by its wording, ``marker`` telling whether the text is a page and ``segment``
+    whether the segment has a marker. latin: the words of a segment without names and numbers.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out: list[tuple] = []
-            filled: set[tuple[str, str]] = set()
             for doc, copy, text in zip(pdf["doc_id"], pdf["copy"], pdf["text"], strict=True):
                 if form_is_blank(text):
                     out.append((doc, copy, "form", "", "", False, 0, None))
                 page = is_page(text)
                 low_text = text.lower()
-                program = any(p in low_text for p in _SYNTAX_PARTS)
+                program = any(p in low_text for p in _SYNTAX_PARTS) or _FRAME.search(text) is not None
+                keys = _KEYS.search(low_text) is not None
                 marked = _MARK_PARTS.search(text) is not None
                 wordings: set[str] = set()
+                marks: set[str] = set()
                 for k, s in enumerate(segments(text)):
-                    low = s.lower()
-                    wordings.update(anchors(s))
+                    words = s.split()
+                    ends = anchors(s, words)
                     if program and (m := SYNTAX.search(s)) and not _MENTION.search(s[: m.start()]):
                         out.append((doc, copy, "syntax", "", "", False, k, None))
-                    elif _is_dummy(s, low):
-                        out.append((doc, copy, "dummy", "", "", False, k, None))
                     if marked and _MARK_PARTS.search(s) and MARKER.search(s):
                         out += [(doc, copy, "slot", context, f, mark, k, None) for context, f, mark in skeleton(s)]
-                    elif _BUSY.search(s):
-                        filled.update((context, f) for context, f, _ in skeleton(s, False))
-                    if _is_plain(s) and len(words := _WORD.findall(low)) >= LEAST_WORDS:
-                        out.append((doc, copy, "latin", "", "", False, k, words))
+                        out += [(doc, copy, "end", x, "", False, k, None) for x in ends if "§" not in x and not MARKER.search(x, 1)]
+                        marks.update(ends)
+                    else:
+                        wordings.update(ends)
+                    plain = _is_plain(s)
+                    if plain or keys or len({w.lower() for w in words}) < len(words) - 2:
+                        letters = _WORD.findall(s.lower())
+                        if _is_dummy(s, letters, keys):
+                            out.append((doc, copy, "dummy", "", "", False, k, None))
+                        if plain and len(letters) >= LEAST_WORDS:
+                            out.append((doc, copy, "latin", "", "", False, k, letters))
+                # wordings of segments with a marker (1) are no filled records
                 out += [(doc, copy, "anchor", x, "", page, 0, None) for x in wordings]
-            out += [(None, None, "fill", context, f, False, 0, None) for context, f in filled]
+                out += [(doc, copy, "anchor", x, "", page, 1, None) for x in marks - wordings]
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _OUT.split(", ")])
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")
@@ -213,16 +230,18 @@ def _is_plain(segment: str) -> bool:
 def _open_slots(evidence: DataFrame) -> DataFrame:
     """Documents with an unfilled slot."""
     slots = evidence.where("kind = 'slot'")
-    marked = slots.where("marker").select("context").distinct()
-    filled = evidence.where("kind = 'fill'").join(marked, "context", "left_semi").select("context", "value", F.lit(None).cast("long").alias("copy"))
-    # a position is a slot if its filler differs between records of the same context, filled ones among them
-    aligned = slots.select("context", "value", "copy").unionByName(filled)
-    fillers = aligned.groupBy("context").agg(F.count_distinct("value").alias("values"), F.count_distinct("copy").alias("records"))
+    # a position is a slot if its filler differs between records of the same context
+    fillers = slots.groupBy("context").agg(F.count_distinct("value").alias("values"), F.count_distinct("copy").alias("records"))
     several = slots.groupBy("doc_id", "segment").agg(F.count_if("marker").alias("markers"))
     weighed = slots.where("marker").join(fillers, "context").join(several, ["doc_id", "segment"])
     # a context seen in one record cannot be aligned: two markers in the segment speak for a
     # template; the same markers in several records, and filled in none, are a text about markers
-    return weighed.where((F.col("values") > 1) | ((F.col("records") == 1) & (F.col("markers") > 1))).select("doc_id")
+    differ = weighed.where((F.col("values") > 1) | ((F.col("records") == 1) & (F.col("markers") > 1))).select("doc_id")
+    # and a segment is a record of a template whose filled records have all its constant ends
+    ends = evidence.where("kind = 'end'").select("doc_id", "segment", "context")
+    filled = evidence.where("kind = 'anchor' and segment = 0").select("context").distinct().withColumn("filled", F.lit(True))
+    whole = ends.join(filled, "context", "left").groupBy("doc_id", "segment").agg(F.every(F.coalesce("filled", F.lit(False))).alias("filled"))
+    return differ.unionByName(whole.where("filled").select("doc_id"))
 
 
 def _pages(evidence: DataFrame) -> DataFrame:
@@ -233,7 +252,10 @@ def _pages(evidence: DataFrame) -> DataFrame:
     seen = once.groupBy("context").agg(F.count(F.lit(1)).alias("texts"), F.count_if("page").alias("pages"), F.max("named").alias("named"), F.max(F.col("head") == "=").alias("whole"))
     seen = seen.where(F.col("texts") >= PAGE_TEXTS).withColumn("p", (F.col("pages") + 0.5) / (F.col("texts") + 1))
     least = F.when(F.col("named"), NAMED_SHARE).when(F.col("whole"), WHOLE_SHARE).otherwise(PART_SHARE)
-    seen = seen.where(F.col("p") - 2 * F.sqrt(F.col("p") * (1 - F.col("p")) / (F.col("texts") + 1)) >= least)
+    # where most texts are short anyway, a short text is no evidence
+    usual = once.agg(F.coalesce(F.avg(F.col("page").cast("int")), F.lit(0.0)).alias("usual"))
+    seen = seen.join(F.broadcast(usual)).withColumn("least", F.greatest(least, PAGE_LIFT * F.col("usual")))  # one row
+    seen = seen.where(F.col("p") - 2 * F.sqrt(F.col("p") * (1 - F.col("p")) / (F.col("texts") + 1)) >= F.col("least"))
     # within a longer text only a segment that begins with the wording has it: others may quote it
     return wordings.where("page or head <> '$'").join(seen.select("context"), "context", "left_semi").select("doc_id")
 
