@@ -67,4 +67,4 @@ def address_parts(c: Column) -> Column:
 
 def is_unknown(c: Column) -> Column:
     """Null, blank, or a word for unknown."""
-    return F.coalesce(strip(F.lower(c)).isin("", "unknown", "nan", "none"), F.lit(True))
+    return F.coalesce(strip(F.lower(c)).isin("", "unknown", "nan"), F.lit(True))

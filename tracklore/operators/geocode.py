@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 from tracklore.operators.dedup import half_even
 
-#: Tag values of industrial features: key, pattern of the value, further keys that must be there (fixed values).
+#: Branches of the scan of industrial features: element types, key, values, further keys that must be there. A value
+#: stands anywhere in the tag's value, or is the whole of it where it begins with "="; none asks for any (fixed values).
 FEATURES = [
-    ("building", "industrial|warehouse|commercial", ["name"]),
-    ("landuse", "industrial|quarry|railway|commercial", ["name"]),
-    ("man_made", "works|silo|storage_tank|kiln|petroleum_well|wastewater_plant|water_works|pumping_station", ["name"]),
-    ("industrial", "", ["name"]),
-    ("building", "", ["operator"]),
-    ("amenity", "fuel", ["name", "brand"]),
-    ("amenity", "fuel|loading_dock|warehouse|recycling", ["name"]),
-    ("craft", "", ["name"]),
-    ("office", "company|industrial", ["name"]),
-    ("shop", "trade|wholesale|hardware", ["name"]),
-    ("company", "", ["name"]),
-    ("power", "plant|substation|generator", ["name"]),
+    ("way", "building", "industrial warehouse commercial", "name"),
+    ("way", "building", "", "operator"),
+    ("way", "landuse", "=industrial", "name"),
+    ("way", "landuse", "quarry railway commercial", "name"),
+    ("node way", "man_made", "works silo storage_tank kiln petroleum_well wastewater_plant water_works pumping_station", "name"),
+    ("node", "industrial", "", "name"),
+    ("node", "amenity", "=fuel", "name brand"),
+    ("way", "amenity", "fuel loading_dock warehouse", "name"),
+    ("node way", "amenity", "=recycling", "name"),
+    ("way", "craft", "", "name"),
+    ("node", "office", "company industrial", "name"),
+    ("node way", "shop", "trade wholesale hardware", "name"),
+    ("node way", "company", "", "name"),
+    ("node way", "power", "plant substation generator", "name"),
 ]
 
 
@@ -36,22 +39,30 @@ def in_box(lat: Column, lon: Column, box: tuple[float, float, float, float]) ->
     return lat.between(south, north) & lon.between(west, east)
 
 
-def is_industrial_feature(tags: Column) -> Column:
-    """One disjunction over the tags, so an element that several branches want comes once."""
+def is_industrial_feature(tags: Column, element: Column) -> Column:
+    """One disjunction over the branches for the element's type, so an element that several want comes once."""
     out = F.lit(False)
-    for key, pattern, need in FEATURES:
-        hit = tags[key].isNotNull() if not pattern else tags[key].rlike(pattern)
-        for k in need:
+    for types, key, values, need in FEATURES:
+        hit = element.isin(types.split()) & tags[key].isNotNull()
+        if values:
+            hit = hit & (tags[key] == values[1:] if values.startswith("=") else tags[key].rlike(values.replace(" ", "|")))
+        for k in need.split():
             hit = hit & tags[k].isNotNull()
         out = out | F.coalesce(hit, F.lit(False))
     return out
 
 
+def named_features(features: DataFrame, tags: str = "tags") -> DataFrame:
+    """Features with a name that are no street."""
+    t = F.col(tags)
+    return features.where((F.coalesce(t["name"], F.lit("")) != "") & t["highway"].isNull())
+
+
 def feature_points(elements: DataFrame) -> DataFrame:
     """Industrial features with a position; the centre stands before the element's own point."""
     e = elements.select(F.explode("elements").alias("e"))
     spot = [F.coalesce(f"e.center.{c}", f"e.{c}").alias(c) for c in ("lat", "lon")]
-    return e.where(is_industrial_feature(F.col("e.tags"))).select(F.col("e.id").alias("id"), *spot, F.col("e.tags").alias("tags")).where((F.col("lat") != 0) & (F.col("lon") != 0))
+    return e.where(is_industrial_feature(F.col("e.tags"), F.col("e.type"))).select(F.col("e.id").alias("id"), *spot, F.col("e.tags").alias("tags")).where((F.col("lat") != 0) & (F.col("lon") != 0))
 
 
 def ranked_places(places: DataFrame, key: str, position: str, k: int = 3) -> DataFrame:

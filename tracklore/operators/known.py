@@ -60,6 +60,12 @@ def validation(names: DataFrame, known: list[str]) -> DataFrame:
     )
 
 
+def new_names(names: DataFrame, known: list[str]) -> DataFrame:
+    """Discovered names that contain no known name and are contained in none."""
+    n = names.select("name").where("name <> ''").distinct()
+    return n.where(F.size(contained(F.col("name"), _literal(known))) == 0)
+
+
 def missed_known(names: DataFrame, known: list[str]) -> DataFrame:
     """Known names that no discovered name contains or is contained in."""
     spark = names.sparkSession

@@ -18,8 +18,9 @@ def union_regions(parts: dict[str, DataFrame], key: str = "state_key") -> DataFr
 
 
 def new_rows(base: DataFrame, added: DataFrame, name: str = "company_name", lat: str = "lat", lon: str = "lon", digits: int = 5) -> DataFrame:
-    """Rows of ``added`` whose name and rounded position ``base`` lacks; null and NaN equal themselves, copies within ``added`` stay."""
-    key = {"_k1": F.lower(strip(F.coalesce(F.col(name), F.lit("")))), "_k2": half_even(F.col(lat), digits), "_k3": half_even(F.col(lon), digits)}
+    """Rows of ``added`` whose name and rounded position ``base`` lacks; null and NaN are one key, copies within ``added`` stay."""
+    place = lambda c: half_even(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), digits)
+    key = {"_k1": F.lower(strip(F.coalesce(F.col(name), F.lit("")))), "_k2": place(lat), "_k3": place(lon)}
     a = added.withColumns(key)
     b = base.select(*(v.alias(k) for k, v in key.items())).distinct()
     return a.join(b, [a[k].eqNullSafe(b[k]) for k in key], "left_anti").drop(*key)

@@ -18,9 +18,14 @@ ELEMENTS = (
 )
 
 
-def parse_elements(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ways, nodes) of saved responses; of a repeated id the last element counts, at its first position."""
-    el = raw.select(F.posexplode("elements").alias("pos", "e"))
+def parse_elements(raw: DataFrame, order: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(ways, nodes) of saved responses; of a repeated id the last element counts, at its first position.
+
+    Responses follow each other by the columns of ``order`` (such as a time of retrieval, or
+    file and line), else as they are read.
+    """
+    at = F.struct(*order, F.monotonically_increasing_id().alias("line"))
+    el = raw.select(at.alias("at"), F.posexplode("elements").alias("i", "e")).select(F.struct("at", "i").alias("pos"), "e")
     last = lambda t: el.where(F.col("e.type") == t).groupBy(F.col("e.id").alias("id")).agg(F.min("pos").alias("ord"), F.max_by("e", "pos").alias("e"))
     none = F.create_map().cast("map<string,string>")
     ways = last("way").select(F.col("id").alias("way_id"), F.coalesce("e.tags", none).alias("tags"), F.coalesce("e.nodes", F.array().cast("array<bigint>")).alias("node_ids"), "ord")
@@ -112,15 +117,3 @@ def geojson_features(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     shape = F.struct(F.lit("LineString").alias("type"), line.alias("coordinates"))
     w = resolve_coords(ways, nodes)
     return w.select("way_id", F.to_json(F.struct(F.lit("Feature").alias("type"), props.alias("properties"), shape.alias("geometry"))).alias("feature"), F.size("coords").alias("n_vertices"))
-
-
-def ways_of_orders(lineitem: DataFrame, modulus: int = 5000) -> tuple[DataFrame, DataFrame]:
-    """A synthetic network over the order lines: a way per order, a node per part."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    v = lineitem.withColumn("seq", F.row_number().over(w)).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("seq", "l_partkey"))).alias("v"), F.min_by("l_returnflag", "seq").alias("flag"))
-    kind = F.when(F.col("flag") == "A", "spur").when(F.col("flag") == "N", "siding").otherwise("rail")
-    ways = v.select(F.col("l_orderkey").alias("way_id"), F.create_map(F.lit("railway"), kind).alias("tags"), F.transform("v", lambda x: x["l_partkey"]).alias("node_ids"))
-    k = F.col("node_id")
-    coords = [(37 + ((k * 7919) % modulus) / 10000.0).alias("lat"), (-91 + ((k * 104729) % modulus) / 10000.0).alias("lon")]
-    nodes = lineitem.select(F.col("l_partkey").alias("node_id")).distinct().select("node_id", *coords)
-    return ways, nodes

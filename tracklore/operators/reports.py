@@ -40,6 +40,11 @@ def sector_counts(rows: DataFrame, sector: str = "sector_guess") -> DataFrame:
     return rows.groupBy(s.alias("sector")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def sectors_by_region(rows: DataFrame, region: str, sector: str = "sector_guess") -> DataFrame:
+    """(region, sector, n) of rows with a sector."""
+    return rows.where(F.trim(F.coalesce(sector, F.lit(""))) != "").groupBy(region, sector).agg(F.count(F.lit(1)).alias("n"))
+
+
 def compare_counts(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """(key, before, after, change) of two count tables; absent is 0."""
     a, b = before.withColumnRenamed("n", "before"), after.withColumnRenamed("n", "after")

@@ -169,7 +169,7 @@ def name_class(name: Column) -> Column:
         .when(s.rlike(r"^-?\d+(?:\.\d+)?(?:,\s*-?\d+(?:\.\d+)?)?$"), "numeric")
         .when(s.rlike(r"^\d+$|^.{0,2}$"), "trivial")
         .when(s.rlike(r"(?i)^(?:node|way|relation)\s*\d+"), "osm_tag")
-        .when(s.rlike(rf"(?i)\b(?:{GEO_WORDS})\b"), "geo_keyword")
+        .when(s.rlike(rf"(?iU)\b(?:{GEO_WORDS})\b"), "geo_keyword")
         .otherwise("real")
     )
 
@@ -179,9 +179,9 @@ def name_quality(name: Column) -> Column:
     return F.when(c == "empty", "empty_name").when(c == "real", "real").otherwise("low_quality_name")
 
 
-def data_quality(name: Column, city: Column, lat: Column) -> Column:
-    """low_quality_name, no_location or complete; an empty name is not tested."""
-    nowhere = (strip(F.coalesce(city, F.lit(""))) == "") & (lat.isNull() | F.isnan(lat))
+def data_quality(name: Column, city: Column, state: Column) -> Column:
+    """low_quality_name, no_location (town or state is blank) or complete; an empty name is not tested."""
+    nowhere = (strip(F.coalesce(city, F.lit(""))) == "") | (strip(F.coalesce(state, F.lit(""))) == "")
     return F.when(name_quality(name) == "low_quality_name", "low_quality_name").when(nowhere, "no_location").otherwise("complete")
 
 
@@ -229,8 +229,9 @@ STREETS = (
     "expressway|throughway|thruway|causeway|connector|bypass|cutoff"
 )
 DISTRICTS = "county|parish|township|twp|borough|boro|municipality|precinct"
-#: Designations of numbered roads; states by their two letters (fixed values).
-ROADS = r"US|U\.S\.|I|Interstate|State\s+(?:Route|Highway|Road)|SR|SH|FM|RM|Ranch\s+(?:to\s+Market|Road)|Farm\s+(?:to\s+Market|Road)|Highway|Hwy|Route|RT|RTE"
+#: Designations of numbered roads by what may stand before the number: any dash or number sign, a dash, blanks; states by their two letters (fixed values).
+ROADS_SIGN = r"US|U\.S\.|State\s+(?:Route|Highway|Road)|SR|SH|FM|RM|Ranch\s+(?:to\s+Market|Road)|Farm\s+(?:to\s+Market|Road)"
+ROADS_BLANK = "Interstate|Highway|Hwy|Route|RT|RTE"
 STATES = "NY|CA|TX|OH|IL|PA|GA|FL|WI|MN|IA|KS|MO|AR|LA|MS|AL|TN|KY|IN|MI|NC|SC|VA|WV|MD|DE|NJ|CT|MA|RI|NH|VT|ME|ND|SD|NE|CO|UT|AZ|NM|NV|ID|MT|WY|OR|WA|AK|HI|OK|M"
 
 
@@ -244,7 +245,10 @@ def junk_reason(name: Column) -> Column:
     tail = r"[\w\s\-\.;]*"
     road = "|".join(
         (
-            rf"(?:{ROADS}|{STATES})\s*[-#]?\s*\d+{tail}",
+            rf"(?:{ROADS_SIGN})\s*[-#]?\s*\d+{tail}",
+            rf"(?:I|{STATES})\s*-?\s*\d+{tail}",
+            rf"(?:{ROADS_BLANK})\s+\d+{tail}",
+            r"(?:US|I-|SR|FM|CR|RM|Highway|Hwy)\s*\d[\w\s\-]*(?:;\s*(?:US|I-|SR|SH|FM|CR|RM|[A-Z]{2})\s*-?\s*\d[\w\s\-]*)+",
             r"(?:County\s+(?:Road|Route|Highway)|CR)\s*[-#]?\s*[A-Z0-9][\w\.\-;]*",
             r"(?:Business|Loop|Spur|Alt|Alternate|Business\s+Loop)\s+(?:US|I|Highway|Hwy|Route)\s*[-#]?\s*\d+.*",
             r"(?:Truck\s+Route|Access\s+Road\s*[A-Z0-9]*|Service\s+Road)\s*\d*",

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracklore.functions.geo import centroid, haversine, polyline_length, usable_position
 from tracklore.functions.text import SUFFIXES, address_parts, norm_brand, norm_suffix, norm_words
 from tracklore.operators import dedup, known, merge, network, proximity, reports, rules
 from tracklore.session import table
-from tracklore.sources.io import overture_places
+from tracklore.sources.io import overture_places, point_of_wkb
 from tracklore.streaming.arrivals import latest
 
 _COLS = "row_id osm_way_id state_key company_name address city state zip_code lat lon facility_type spur_length_m confidence in_existing_list sector_guess source discovery_date".split()
@@ -26,7 +26,22 @@ def _ends(spark: SparkSession, d: str) -> DataFrame:
 
 def _places(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "overture_places")
-    return p.select("place_id", F.col("names.primary").alias("name"), F.col("bbox.ymin").alias("lat"), F.col("bbox.xmin").alias("lon"))
+    spot = point_of_wkb(F.col("geometry"))
+    lat, lon = F.coalesce(spot["lat"], F.col("bbox.ymin")), F.coalesce(spot["lon"], F.col("bbox.xmin"))
+    return p.select("place_id", F.col("names.primary").alias("name"), lat.alias("lat"), lon.alias("lon"))
+
+
+
+def ways_of_orders(lineitem: DataFrame, modulus: int = 5000) -> tuple[DataFrame, DataFrame]:
+    """A synthetic network over the order lines: a way per order, a node per part."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    v = lineitem.withColumn("seq", F.row_number().over(w)).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("seq", "l_partkey"))).alias("v"), F.min_by("l_returnflag", "seq").alias("flag"))
+    kind = F.when(F.col("flag") == "A", "spur").when(F.col("flag") == "N", "siding").otherwise("rail")
+    ways = v.select(F.col("l_orderkey").alias("way_id"), F.create_map(F.lit("railway"), kind).alias("tags"), F.transform("v", lambda x: x["l_partkey"]).alias("node_ids"))
+    k = F.col("node_id")
+    coords = [(37 + ((k * 7919) % modulus) / 10000.0).alias("lat"), (-91 + ((k * 104729) % modulus) / 10000.0).alias("lon")]
+    nodes = lineitem.select(F.col("l_partkey").alias("node_id")).distinct().select("node_id", *coords)
+    return ways, nodes
 
 
 _C = f"(select distinct {', '.join(_COLS)} from companies)"
@@ -102,17 +117,17 @@ def longest_tracks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def way_geometry(spark: SparkSession, d: str) -> DataFrame:
-    w = network.resolve_coords(*network.ways_of_orders(table(spark, d, "lineitem")))
+    w = network.resolve_coords(*ways_of_orders(table(spark, d, "lineitem")))
     c = centroid(F.col("coords"))
     return w.select("way_id", F.size("coords").alias("n_vertices"), F.round(polyline_length(F.col("coords")), 3).alias("metres"), F.round(c["lat"], 8).alias("lat"), F.round(c["lon"], 8).alias("lon"))
 
 
 def junctions(spark: SparkSession, d: str) -> DataFrame:
-    return network.junction_nodes(network.ways_of_orders(table(spark, d, "lineitem"))[0])
+    return network.junction_nodes(ways_of_orders(table(spark, d, "lineitem"))[0])
 
 
 def facility_ends(spark: SparkSession, d: str) -> DataFrame:
-    e = network.facility_ends(*network.ways_of_orders(table(spark, d, "lineitem")))
+    e = network.facility_ends(*ways_of_orders(table(spark, d, "lineitem")))
     return e.select("osm_way_id", "railway_type", "connected_to_mainline", "endpoint_method", F.round("lat", 8).alias("lat"), F.round("lon", 8).alias("lon"))
 
 
@@ -164,12 +179,17 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.first_by(c, keys, [F.col("row_id")]).select("row_id")
 
 
+def _row_score() -> list[Column]:
+    """Rows with a town first, then those with a sector, then by source."""
+    filled = lambda x: F.when(F.trim(F.coalesce(F.col(x), F.lit(""))) != "", 0).otherwise(1)
+    source = F.trim(F.coalesce(F.col("source"), F.lit("")))
+    return [filled("city"), filled("sector_guess"), F.when(source == "osm_batch", 0).when(source == "overture", 1).when(source == "nominatim", 2).otherwise(9)]
+
+
 def city_dedup(spark: SparkSession, d: str) -> DataFrame:
     c = _companies(spark, d)
-    filled = lambda x: F.when(F.trim(F.coalesce(F.col(x), F.lit(""))) != "", 0).otherwise(1)
-    rank = F.when(F.col("source") == "osm_batch", 0).when(F.col("source") == "overture", 1).when(F.col("source") == "nominatim", 2).otherwise(9)
     loc = dedup.location_key(F.col("city"), F.col("lat"), F.col("lon"), F.col("state_key"))
-    kept = dedup.first_by(c.withColumns({"norm": norm_words(F.col("company_name")), "loc": loc}), [F.col("norm"), F.col("loc")], [filled("city"), filled("sector_guess"), rank, F.col("row_id")])
+    kept = dedup.first_by(c.withColumns({"norm": norm_words(F.col("company_name")), "loc": loc}), [F.col("norm"), F.col("loc")], [*_row_score(), F.col("row_id")])
     return kept.select("row_id", "norm", "loc")
 
 
@@ -186,8 +206,7 @@ def company_dedup_200m(spark: SparkSession, d: str) -> DataFrame:
 
 def proximity_dedup_100m(spark: SparkSession, d: str) -> DataFrame:
     c = _companies(spark, d).withColumn("norm", norm_words(F.col("company_name")))
-    filled = F.when(F.trim(F.coalesce(F.col("city"), F.lit(""))) != "", 0).otherwise(1)
-    return dedup.leader_dedup(c, "row_id", [filled], 100.0, group="norm", inclusive=True).select("row_id")
+    return dedup.leader_dedup(c, "row_id", _row_score(), 100.0, group="norm", inclusive=True).select("row_id")
 
 
 def labels(spark: SparkSession, d: str) -> DataFrame:
@@ -202,7 +221,7 @@ def labels(spark: SparkSession, d: str) -> DataFrame:
         rules.sector_by_category(kind).alias("sector_category"),
         rules.layered_sector(F.col("sector_guess"), rules.sector_by_words(name, kind, rules.SECTORS), rules.sector_by_category(kind)).alias("sector"),
         rules.name_class(name).alias("name_class"),
-        rules.data_quality(name, F.col("city"), F.col("lat")).alias("quality"),
+        rules.data_quality(name, F.col("city"), F.col("state")).alias("quality"),
         rules.facility_value(kind).alias("facility_value"),
         rules.is_industrial(name).alias("industrial"),
     )
@@ -268,7 +287,7 @@ def merge_new_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def union_regions(spark: SparkSession, d: str) -> DataFrame:
     c = _companies(spark, d).select("row_id", "state_key", "source")
-    parts = {s: c.where(F.col("source") == s).drop("state_key") for s in ("nominatim", "osm", "osm_batch", "overture")}
+    parts = {s: c.where(F.col("source") == s).drop("state_key") for s in ("google_places", "nominatim", "osm", "osm_batch", "overture")}
     return merge.union_regions(parts, "feed").groupBy("feed").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -284,10 +303,11 @@ def verdict_batches(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parsed_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels out of answers made of the events' properties."""
+    """Labels out of answers made of the events: their type at the position that their property names."""
     e = table(spark, d, "events")
-    answer = F.concat(F.lit("```json\n{\"0\": \"Energy\", \"7\": \"Nonsense\", \"x\": \"Energy\", \"60\": \"Energy\", \"1\": \""), F.when(F.col("event_id") % 2 == 0, "Mining").otherwise("Metals"), F.lit("\"}\n```"))
-    return merge.parse_labels(e.select("event_id", answer.alias("a")), "event_id", "a", ["Energy", "Mining", "Metals", "Unknown"], 50)
+    k = F.get_json_object("props", "$.k")
+    answer = F.concat(F.lit("```json\n{\""), k, F.lit("\": \""), F.col("event_type"), F.lit("\", \"x\": \"click\"}\n```"))
+    return merge.parse_labels(e.select("event_id", answer.alias("a")), "event_id", "a", ["click", "view", "Unknown"], 50)
 
 
 def overture_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -358,10 +378,7 @@ _WAYS = """v as (select l_orderkey as way_id, l_partkey as node_id, l_returnflag
   w as (select way_id, count(*) as n, arg_min(l_returnflag, seq) as flag, arg_min(node_id, seq) as a, arg_max(node_id, seq) as b,
         arg_min(lat, seq) as alat, arg_min(lon, seq) as alon, arg_max(lat, seq) as blat, arg_max(lon, seq) as blon, avg(lat) as mlat, avg(lon) as mlon from c group by 1),
   j as (select node_id, count(*) as n_ends from (select a as node_id from w union all select b from w) group by 1 having count(*) >= 2)"""
-_NEAR = f"""near as (select e.endpoint_id, p.place_id, p.name, {_hav('e', 'p')} as metres
-  from {_E} e join (select place_id, names.primary as name, bbox.ymin as lat, bbox.xmin as lon from {_P}) p
-    on p.lat between e.lat - 0.0046 and e.lat + 0.0046 and {_hav('e', 'p')} <= 500 where {_OK.format('e')} and {_OK.format('p')})"""
-_UNKNOWN = "coalesce(" + _strip("lower({0})") + " in ('', 'unknown', 'nan', 'none'), true)"
+_UNKNOWN = "coalesce(" + _strip("lower({0})") + " in ('', 'unknown', 'nan'), true)"
 _CLASS = (
     rf"case when {{0}} = '' then 'empty' when regexp_matches({{0}}, '^-?\d+(?:\.\d+)?(?:,\s*-?\d+(?:\.\d+)?)?$') then 'numeric' when regexp_matches({{0}}, '^\d+$|^.{{{{0,2}}}}$') then 'trivial' "
     rf"when regexp_matches({{0}}, '(?i)^(?:node|way|relation)\s*\d+') then 'osm_tag' when regexp_matches({{0}}, '(?i)\b(?:{rules.GEO_WORDS})\b') then 'geo_keyword' else 'real' end"
@@ -374,6 +391,18 @@ _CATKEY = f"replace({_strip('lower(facility_type)')}, ' ', '_')"
 _CAT = "case " + " ".join(f"when {_CATKEY} = '{k}' then '{v}'" for k, v in rules.CATEGORY_SECTORS.items()) + " else '' end"
 _RAIL = "coalesce(lower(categories.primary) in (" + ", ".join(f"'{c}'" for c in rules.RAIL_CATEGORIES) + "), false)"
 _PIND = _any("lower(coalesce(names.primary, ''))", rules.INDUSTRIAL)
+
+def _wkb(at: int) -> str:
+    """A double of a little-endian point, from its hexadecimal digits."""
+    digits = " || ".join(f"substr(hex(geometry), {at + i}, 2)" for i in range(14, -1, -2))
+    top, frac = f"('0x' || substr({digits}, 1, 3))::bigint", f"('0x' || substr({digits}, 4, 13))::bigint"
+    return f"(case when {top} >= 2048 then -1.0::double else 1.0::double end) * (1.0::double + {frac} / 4503599627370496.0::double) * pow(2.0::double, ({top} % 2048) - 1023)"
+
+
+_SPOT = f"(select place_id, names.primary as name, coalesce({_wkb(27)}, bbox.ymin) as lat, coalesce({_wkb(11)}, bbox.xmin) as lon, ({_RAIL} or {_PIND}) as ok from {_P})"
+_NEAR = f"""near as (select e.endpoint_id, p.place_id, p.name, {_hav('e', 'p')} as metres
+  from {_E} e join {_SPOT} p
+    on p.lat between e.lat - 0.0046 and e.lat + 0.0046 and {_hav('e', 'p')} <= 500 where {_OK.format('e')} and {_OK.format('p')})"""
 _KEY = "lower(" + _strip("coalesce(company_name, '')") + ")"
 
 
@@ -381,6 +410,10 @@ def _round(x: str, n: int) -> str:
     return f"round_even({x} * 1e{n}, 0) / 1e{n}"
 
 
+def _ROUND5(x: str) -> str:
+    return f"case when isnan({x}) then null else {_round(x, 5)} end"
+
+
 def _fold(src: str, group: str, order: str, near: str) -> str:
     """Leader dedup as a sequential fold over each group."""
     return f"""
@@ -412,7 +445,7 @@ ORACLE = {
     "named_nearest": f"with {_NEAR} select * from (select endpoint_id, arg_min(place_id, (metres, place_id)) as place_id, arg_min(coalesce(name, ''), (metres, place_id)) as name from near group by 1) where name <> ''",
     "top3_places": f"with {_NEAR} select endpoint_id, place_id, rank from (select *, row_number() over (partition by endpoint_id order by metres, place_id) as rank from near) where rank <= 3",
     "best_feature": f"select osm_way_id, arg_max(row_id, (coalesce(confidence = 'HIGH', false), row_id)) as row_id, arg_max(coalesce(company_name, '~null'), (coalesce(confidence = 'HIGH', false), row_id)) as company_name from {_C} group by 1".replace("arg_max(coalesce(company_name, '~null'),", "nullif(arg_max(coalesce(company_name, '~null'),").replace("row_id)) as company_name", "row_id)), '~null') as company_name"),
-    "cascade_passes": f"""with e as (select * from {_E} e where {_OK.format('e')}), p as (select place_id, bbox.ymin as lat, bbox.xmin as lon, ({_RAIL} or {_PIND}) as ok from {_P}),
+    "cascade_passes": f"""with e as (select * from {_E} e where {_OK.format('e')}), p as (select place_id, lat, lon, ok from {_SPOT}),
  pp as (select * from p where {_OK.format('p')}), c as (select row_id, lat, lon from {_C} c where {_OK.format('c')}),
  m1 as (select distinct endpoint_id from e join pp on pp.lat between e.lat - 0.0024 and e.lat + 0.0024 and {_hav('e', 'pp')} <= 250 where ok),
  m2 as (select distinct endpoint_id from e join pp on pp.lat between e.lat - 0.0024 and e.lat + 0.0024 and {_hav('e', 'pp')} <= 250),
@@ -428,11 +461,11 @@ ORACLE = {
         f"select c.row_id as id, c.lat, c.lon, n.norm_suffix as norm, case confidence when 'HIGH' then 0 when 'MEDIUM' then 1 when 'LOW' then 2 else 3 end as r, coalesce(spur_length_m, 0) as len from {_C} c join ({_sql_suffix('company_name')}) n on n.company_name is not distinct from c.company_name where {_OK.format('c')}",
         "norm", "r, len desc, id", "< 200").replace("ROWID", "row_id"),
     "proximity_dedup_100m": _fold(
-        f"select row_id as id, lat, lon, {_sql_words('company_name')} as norm, case when trim(coalesce(city, '')) <> '' then 0 else 1 end as r from {_C} c where {_OK.format('c')}", "norm", "r, id", "<= 100").replace("ROWID", "row_id")
+        f"select row_id as id, lat, lon, {_sql_words('company_name')} as norm, case when trim(coalesce(city, '')) <> '' then 0 else 1 end as r, case when trim(coalesce(sector_guess, '')) <> '' then 0 else 1 end as r2, case source when 'osm_batch' then 0 when 'overture' then 1 when 'nominatim' then 2 else 9 end as r3 from {_C} c where {_OK.format('c')}", "norm", "r, r2, r3, id", "<= 100").replace("ROWID", "row_id")
     + f" union all select row_id from {_C} c where not coalesce({_OK.format('c')}, false)",
     "labels": f"""select row_id, {_rule(_LN, rules.SECTORS)} as sector_small, {_rule(_LN, rules.PLACE_SECTORS)} as sector_places, {_rule(_WORDS, rules.SECTORS)} as sector_words, {_CAT} as sector_category,
   coalesce(case when not {_UNKNOWN.format('sector_guess')} then sector_guess end, nullif({_rule(_WORDS, rules.SECTORS)}, ''), nullif({_CAT}, ''), '') as sector, {_CLS} as name_class,
-  case when {_CLS} not in ('empty', 'real') then 'low_quality_name' when {_strip("coalesce(city, '')")} = '' and (lat is null or isnan(lat)) then 'no_location' else 'complete' end as quality,
+  case when {_CLS} not in ('empty', 'real') then 'low_quality_name' when {_strip("coalesce(city, '')")} = '' or {_strip("coalesce(state, '')")} = '' then 'no_location' else 'complete' end as quality,
   case when facility_type in ('yes', 'roof') then 'building' when facility_type = 'poi' then 'point_of_interest' else facility_type end as facility_value, {_any(_LN, rules.INDUSTRIAL)} as industrial from {_C}""",
     "place_labels": f"""select place_id, coalesce(replace(nullif(categories.primary, ''), '_', ' '), 'overture_poi') as category, case when {_PIND} or {_RAIL} then 'HIGH' else 'MEDIUM' end as confidence,
   case when coalesce(categories.primary, '') in ({', '.join(repr(t) for t in rules.OTHER_TYPES)}) and not {_any("lower(coalesce(names.primary, ''))", rules.PLACE_WORDS)} then 'LOW'
@@ -446,11 +479,11 @@ ORACLE = {
   select *, len(p) >= 3 as ok, regexp_split_to_array(p[-2], '\s+') as r from (select row_id, list_transform(string_split(coalesce(address, ''), ','), lambda x: {_strip('x')}) as p from {_C}))""",
     "flag_known": f"""with k as (select distinct {_strip('lower(company)')} as k from known_accounts where {_strip('lower(company)')} <> ''), n as ({_sql_suffix('company_name')}),
  f as (select n.company_name, exists (select 1 from k where contains(n.norm_suffix, k.k) or contains(k.k, n.norm_suffix)) as known from n) select c.row_id, f.known from {_C} c join f on f.company_name is not distinct from c.company_name""",
-    "merge_new_rows": f"select row_id from {_C} a where source = 'overture' and not exists (select 1 from {_C} b where (b.source <> 'overture' or b.source is null) and lower({_strip(chr(99)+'oalesce(b.company_name, '+chr(39)*2+')')}) = lower({_strip('coalesce(a.company_name, '+chr(39)*2+')')}) and {_round('b.lat', 5)} is not distinct from {_round('a.lat', 5)} and {_round('b.lon', 5)} is not distinct from {_round('a.lon', 5)})",
-    "union_regions": f"select source as feed, count(*) as n from {_C} where source in ('nominatim', 'osm', 'osm_batch', 'overture') group by 1",
+    "merge_new_rows": f"select row_id from {_C} a where source = 'overture' and not exists (select 1 from {_C} b where (b.source <> 'overture' or b.source is null) and lower({_strip(chr(99)+'oalesce(b.company_name, '+chr(39)*2+')')}) = lower({_strip('coalesce(a.company_name, '+chr(39)*2+')')}) and {_ROUND5('b.lat')} is not distinct from {_ROUND5('a.lat')} and {_ROUND5('b.lon')} is not distinct from {_ROUND5('a.lon')})",
+    "union_regions": f"select source as feed, count(*) as n from {_C} where source in ('google_places', 'nominatim', 'osm', 'osm_batch', 'overture') group by 1",
     "verdicts": f"select row_id, case when row_id % 3 = 0 then (case when row_id % 2 = 0 then 'true' else 'false' end) else 'true' end as keep, case when row_id % 3 = 0 and {_UNKNOWN.format('sector_guess')} then 'Logistics' else sector_guess end as sector_guess from {_C}",
     "verdict_batches": f"select row_id // 50 as batch, left(sha256(string_agg(row_id || ': ' || coalesce(company_name, ''), chr(10) order by row_id, company_name)), 16) as key from {_C} group by 1",
-    "parsed_labels": "select event_id, 0 as idx, 'Energy' as label from events union all select event_id, 7, 'Unknown' from events union all select event_id, 1, case when event_id % 2 = 0 then 'Mining' else 'Metals' end from events",
+    "parsed_labels": "select event_id, k as idx, case when event_type in ('click', 'view') then event_type else 'Unknown' end as label from (select *, (props->>'$.k')::int as k from events) where k between 0 and 49 and event_type is not null",
     "overture_scan": f"select place_id, names.primary as name, categories.primary as category, addresses[1].freeform as address, addresses[1].locality as city, addresses[1].region as state, addresses[1].postcode as postcode from {_P} where ({_RAIL} or {_PIND}) and (geometry is not null or (bbox.ymin <> 0 and bbox.xmin <> 0))",
     "latest_ends": "select endpoint_id, railway_type, spur_length_m from (select *, row_number() over (partition by endpoint_id order by extracted_at desc) as rn from spur_endpoints) where rn = 1",
     "source_counts": f"select coalesce(source, '') as source, count(*) as n, round(100.0 * count(*) / sum(count(*)) over (), 1) as share from {_C} group by 1",
@@ -472,3 +505,25 @@ ORACLE |= {
     "validation_missed": f"with {_V} select known from k where not exists (select 1 from f where contains(name, known) or contains(known, name))",
     "spot_check": f"with n as ({_sql_suffix('company_name')}) select min(c.company_name) as first from {_C} c join n using (company_name) where sector_guess = 'Metals' group by n.norm_suffix order by 1 limit 15",
 }
+
+_J = "strip_accents(" + _N + ")"
+
+
+def _full(pattern: str) -> str:
+    return f"regexp_matches({_J}, '(?i)^(?:{pattern})$')"
+
+
+_TAIL = r"[\w\s\-\.;]*"
+_ROAD_SQL = " or ".join(
+    _full(p)
+    for p in (
+        rf"(US|U\.S\.)\s*[-#]?\s*\d+{_TAIL}", rf"I\s*-?\s*\d+{_TAIL}", rf"Interstate\s+\d+{_TAIL}", rf"(State\s+(Route|Highway|Road)|SR|SH)\s*[-#]?\s*\d+{_TAIL}",
+        r"(County\s+(Road|Route|Highway)|CR)\s*[-#]?\s*[A-Z0-9][\w\.\-;]*", rf"(FM|RM|(Ranch|Farm)\s+(to\s+Market|Road))\s*[-#]?\s*\d+{_TAIL}", rf"(Highway|Hwy)\s+\d+{_TAIL}",
+        rf"(Route|RTE?)\s+\d+{_TAIL}", rf"({rules.STATES})\s*-?\s*\d+{_TAIL}", r"(Business|Loop|Spur|Alt|Alternate|Business\s+Loop)\s+(US|I|Highway|Hwy|Route)\s*[-#]?\s*\d+.*",
+        r"(US|I-|SR|FM|CR|RM|Highway|Hwy)\s*\d[\w\s\-]*(;\s*(US|I-|SR|SH|FM|CR|RM|[A-Z]{2})\s*-?\s*\d[\w\s\-]*)+", r"(Truck\s+Route|Access\s+Road\s*[A-Z0-9]*|Service\s+Road)\s*\d*",
+    )
+)
+_QUOTED = [p.replace("'", "''") for p in (rf"\d+(?:st|nd|rd|th)\s+(?:street|ave|avenue|road|drive|blvd|boulevard|place|lane|way|court)|(?:\d+\s+)?[\w\s\-'\.]+\s+(?:{rules.STREETS})", rf"[\w\s\-'\.]+\s+(?:{rules.DISTRICTS})")]
+_REASON = f"""case when {_N} = '' then 'empty' when regexp_matches({_J}, '(?i)\\b(?:{rules.SAFE_WORDS})\\b') then '' when {_full(r"\d+(?:\.\d+)?")} then 'number'
+  when length({_N}) <= 2 and upper({_N}) not in ({', '.join(repr(x) for x in rules.SHORT_FIRMS)}) then 'short' when {_full(rules.GENERIC)} then 'generic' when {_ROAD_SQL} then 'highway' when {_full(_QUOTED[0])} then 'street' when {_full(_QUOTED[1])} then 'district' else '' end"""
+ORACLE |= {"junk_reasons": f"select {_REASON} as reason, count(*) as n from {_C} group by 1"}
