@@ -40,6 +40,17 @@ def test_canonical(spark):
     assert {r.canonical for r in none.collect()} == {"UNMATCHED"} and none.count() == len(typed)
 
 
+def test_learnt_phrases(spark):
+    exact = spark.createDataFrame([("grain elevator", "grain elevator"), ("feed mill", "feed mill")], "value string, entry string")
+    entries = exact.select("entry", F.col("value").alias("phrase"))
+    typed = [(i, v) for i in range(8) for v in ("grain elevator", "Corn Tower")] + [(i, v) for i in range(8, 16) for v in ("feed mill", "corn towr" if i == 8 else "fodder kitchen")]
+    typed += [(i, "golf course") for i in range(16)] + [(None, "corn tower"), (3, None), (4, " "), (99, "feed mil"), (0, "Corn Tower")]
+    df = spark.createDataFrame(typed, "thing long, value string")
+    got = {r.value: r.canonical for r in canonical.canonicalise_records(df, exact, entries, stop=[]).collect()}
+    assert got == {"Corn Tower": "grain elevator", "corn tower": "grain elevator", "corn towr": "grain elevator", "fodder kitchen": "feed mill", "golf course": "UNMATCHED", "feed mil": "feed mill"}
+    assert canonical.canonicalise_records(df.limit(0), exact, entries, stop=[]).count() == 0
+
+
 def test_survivors(spark):
     df = rows(
         spark,

@@ -6,6 +6,11 @@ short form (same first letter, letters in order). The repaired tokens of a value
 are then combined: every phrase of the list is ranked by soft TF-IDF, the cosine
 of both weighted bags in which repaired tokens count by their similarity. A value
 with too low a best score, or whose best score two entries share, has no match.
+
+Other names for an entry, which share no word with it, are learnt from records of the
+same thing: a phrase that stands again and again beside one entry and hardly beside
+others joins the list as a phrase of that entry, and what the list alone left open is
+repaired and ranked once more. Values that mean no entry stand beside all entries.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ LONE, MARGIN, LONE_LETTERS = 0.62, 0.12, 6
 BLANKS = "tbd tba tbc na nan nil null none unknown undefined unspecified missing pending see notes remarks not given available applicable provided same as above xx xxx poi".split()
 #: Similarity of a short form, and the least similarity of a repaired token or value.
 SHORT_FORM, LEAST_REPAIR = 0.85, 0.6
+#: A phrase is another name for an entry if so many things, and this share of those with a known entry, have it beside that entry.
+BESIDE, BESIDE_SHARE = 3, 0.75
 #: Accented letters and the plain ones that stand for them (fixed values).
 _ACCENTS = ("áàâäãåéèêëíìîïóòôöõúùûüñçýß", "aaaaaaeeeeiiiiooooouuuuncys")
 
@@ -140,3 +147,35 @@ def canonicalise(values: DataFrame, entries: DataFrame, *, stop: list[str], leas
     lone = (F.col("top.score") >= LONE) & (F.col("lead") >= MARGIN) & (F.length("whole") >= LONE_LETTERS)
     sure = ((F.col("top.score") >= least) & (F.col("lead") > 0)) | lone
     return best.select("value", F.when(sure, F.col("top.entry")).otherwise(UNMATCHED).alias("canonical"), F.coalesce("top.score", F.lit(0.0)).alias("score"))
+
+
+def learn_phrases(typed: DataFrame, exact: DataFrame) -> DataFrame:
+    """(phrase, entry) of folded values that stand beside one entry.
+
+    ``typed`` has (thing, value) of records, ``exact`` (value, entry) of the list. A thing
+    counts where its records give exactly one entry in the list's own words; copies count
+    once and a null thing is none.
+    """
+    t = typed.where(F.col("thing").isNotNull() & (F.length(F.trim("value")) > 0)).select("thing", "value").distinct()
+    known = t.join(F.broadcast(exact), "value")  # the list is a fixed table of at most a hundred rows
+    known = known.groupBy("thing").agg(F.count_distinct("entry").alias("n"), F.first("entry").alias("entry")).where("n = 1").select("thing", "entry")
+    other = t.join(F.broadcast(exact.select("value")), "value", "left_anti").select("thing", folded(F.col("value")).alias("phrase")).where("phrase <> ''").distinct()
+    beside = other.join(known, "thing").groupBy("phrase", "entry").agg(F.count(F.lit(1)).alias("n"))
+    best = beside.groupBy("phrase").agg(F.max_by("entry", F.struct("n", "entry")).alias("entry"), F.max("n").alias("n"), F.sum("n").alias("of"))
+    return best.where((F.col("n") >= BESIDE) & (F.col("n") >= BESIDE_SHARE * F.col("of"))).select("phrase", "entry")
+
+
+def canonicalise_records(typed: DataFrame, exact: DataFrame, entries: DataFrame, *, stop: list[str], singular: bool = True) -> DataFrame:
+    """``(value, canonical)`` of the distinct values of ``typed`` (thing, value) that are no entry of ``exact`` (value, entry).
+
+    The list alone is tried first; values that it leaves open, or whose phrase stands
+    beside another entry, are ranked again with the learnt phrases in the list.
+    """
+    values = typed.select("value").where(F.length(F.trim("value")) > 0).distinct().join(F.broadcast(exact.select("value")), "value", "left_anti")
+    first = cut(canonicalise(values, entries, stop=stop, singular=singular).select("value", "canonical").withColumn("phrase", folded(F.col("value"))))
+    learnt = learn_phrases(typed, exact).withColumnRenamed("entry", "other")
+    open_ = cut(first.join(learnt, "phrase", "left").where((F.col("canonical") == UNMATCHED) | (F.col("other") != F.col("canonical"))))
+    phrases = open_.where("other is not null").select(F.col("other").alias("entry"), "phrase").distinct()
+    again = canonicalise(open_.select("value"), entries.unionByName(phrases), stop=stop, singular=singular)
+    again = again.select("value", F.col("canonical").alias("again"))
+    return first.join(again, "value", "left").select("value", F.coalesce("again", "canonical").alias("canonical"))

@@ -1,7 +1,6 @@
-"""Vocabulary of the rail-served facility domain: fixed values of general knowledge.
+"""Vocabulary of the rail-served facility domain: what the reference tables themselves give.
 
-Names of states and kinds of facility in other languages and everyday words; they
-extend the phrases that the reference tables themselves give.
+Other names for an entry are learnt from the table (canonical.learn_phrases).
 """
 
 from __future__ import annotations
@@ -11,71 +10,21 @@ from pyspark.sql import functions as F
 
 from tracklore.llm.textnorm import STATE_FORMS
 
-#: States in Spanish, French and German where they differ (fixed values).
-STATE_ABROAD = {
-    "CA": "californie,kalifornien", "FL": "floride", "GA": "georgie,georgien", "LA": "luisiana,louisiane", "MS": "misisipi", "MO": "misuri",
-    "NH": "nuevo hampshire,nueva hampshire", "NJ": "nueva jersey", "NM": "nuevo mexico,nouveau mexique", "NY": "nueva york", "NC": "carolina del norte,caroline du nord,nordkarolina",
-    "SC": "carolina del sur,caroline du sud", "ND": "dakota del norte,dakota du nord,norddakota", "SD": "dakota del sur,dakota du sud", "OR": "oregon", "PA": "pensilvania,pennsylvanie,pennsylvanien",
-    "TX": "tejas", "VA": "virginie", "WV": "virginia occidental,virginie occidentale", "MI": "michigan", "TN": "tenesi", "CT": "conectico",
-}
-#: Other words for the kinds of facility (fixed values).
-FACILITY_WORDS = {
-    "grain elevator": "grain silo,elev grain,silo de granos,getreidespeicher,silo a grains,grain handling elevator",
-    "feed mill": "animal feed plant,animal feed works,feed plant,fabrica de piensos,futtermittelwerk",
-    "flour mill": "wheat milling,wheat mill,flour milling,molino harinero,molino de harina,minoterie,getreidemuhle",
-    "warehouse": "whse,wrhs,storage shed,almacen,bodega,entrepot,lagerhaus",
-    "cold storage": "refrigerated warehouse,frigorifico,kuhlhaus,entrepot frigorifique",
-    "distribution center": "distribution centre,fulfilment hub,fulfillment center,centro de distribucion,centre de distribution,dc",
-    "transload terminal": "transloading terminal,trans shipment point,transshipment point,transload yard,xload terminal,umschlagplatz",
-    "intermodal terminal": "im terminal,container yard,container terminal,containerterminal,terminal intermodal",
-    "chemical plant": "chemical factory,planta quimica,usine chimique,chemiewerk",
-    "plastics plant": "plastics factory,polymer compounding,polymer plant,planta de plasticos,kunststoffwerk",
-    "fertilizer depot": "fertiliser depot,fertilizer store,crop nutrient store,deposito de fertilizantes,dungerlager",
-    "steel mill": "steelworks,steel works,melt shop,aceria,acierie,stahlwerk",
-    "foundry": "iron casting works,iron foundry,metal casting works,fundicion,fonderie,giesserei",
-    "scrap yard": "junk metal yard,junkyard,junk yard,scrap metal yard,metal recycling yard,chatarreria,schrottplatz",
-    "quarry": "rock pit,stone quarry,rock quarry,cantera,carriere,steinbruch",
-    "cement plant": "cement works,cement factory,usine de ciment,cimenterie,planta de cemento,zementwerk",
-    "concrete batch plant": "readymix plant,ready mix plant,concrete plant,planta de hormigon,betonwerk",
-    "sand terminal": "frac sand terminal,proppant silo site,proppant terminal,terminal de arena,sandterminal",
-    "lumber yard": "wood yard,timber merchant yard,lumberyard,deposito de madera,holzhof",
-    "sawmill": "saw mill,timber sawing works,aserradero,scierie,sagewerk",
-    "paper mill": "pulp works,pulp mill,paper factory,fabrica de papel,papeterie,papierfabrik",
-    "refinery": "petroleum refining site,oil refinery,petroleum refinery,crude oil works,refineria,raffinerie",
-    "fuel terminal": "fuel depot,gasoline terminal,petroleum tank farm,terminal de combustible,tanklager",
-    "propane terminal": "bottled gas depot,lpg terminal,lpg depot,gas bottling depot,terminal de propano",
-    "ethanol plant": "etoh plant,biofuel distillery,ethanol distillery,planta de etanol",
-    "power station": "electric generating site,power plant,power house,generating plant,central electrica,centrale electrique,kraftwerk",
-    "coal mine": "coal tipple,coal pit,colliery,mina de carbon,mine de charbon,kohlebergwerk,kohlenmine",
-    "brewery": "beer brewing works,brasserie industrielle,brasserie,cerveceria,brauerei",
-    "sugar factory": "cane processing works,sugar mill,sugar refinery,sugar works,fabrica de azucar,sucrerie,zuckerfabrik",
-    "meat packing plant": "slaughterhouse,abattoir,meat works,matadero,schlachthof",
-    "auto assembly plant": "vehicle assembly works,car factory,car plant,automobile assembly works,planta de automoviles,autowerk",
-    "vehicle ramp": "finished car loading site,auto ramp,autorack yard,finished vehicle ramp",
-    "team track": "shared loading siding,public siding,public team siding,freiladegleis,ladegleis",
-    "rail car repair shop": "car knocker shop,railcar repair shop,rr car repair shop,wagon repair shop,railcar rpr shp,rr car rep shop,waggonwerk",
-    "landfill": "l fill,refuse dump,garbage dump,rubbish tip,trash dump,vertedero,decharge,mulldeponie,deponie",
-    "port terminal": "quayside dock,harbor dock,marine terminal,dock terminal,terminal portuaria,hafenterminal",
-}
 #: Words around a kind of facility that say nothing of it (fixed values).
 FACILITY_STOP = "a an and the of for that or with by from to where our old new large small main no active inactive partly leased type building landuse man made industrial office former site yes kind is".split()
 STATE_STOP = "state commonw commonwealth of estado the usa us".split()
 
 
 def state_entries(regions: DataFrame) -> DataFrame:
-    """(entry, phrase) of the states: code, name, both, usual short forms and names abroad."""
+    """(entry, phrase) of the states: code, name, both, and usual short forms."""
     spark: SparkSession = regions.sparkSession
-    forms = [(k, f) for k, v in STATE_FORMS.items() for f in v.split()] + [(k, f) for k, v in STATE_ABROAD.items() for f in v.split(",")]
+    forms = [(k, f) for k, v in STATE_FORMS.items() for f in v.split()]
     own = regions.select(F.col("state_code").alias("entry"), F.explode(F.array("state_code", "state_name", F.concat_ws(" ", "state_code", "state_name"))).alias("phrase"))
     extra = spark.createDataFrame(forms, "entry string, phrase string").join(regions.select(F.col("state_code").alias("entry")), "entry", "left_semi")
     return own.unionByName(extra)
 
 
 def facility_entries(types: DataFrame) -> DataFrame:
-    """(entry, phrase) of the kinds of facility: name, parts of the description, other words."""
-    spark: SparkSession = types.sparkSession
+    """(entry, phrase) of the kinds of facility: name and parts of the description."""
     parts = F.flatten(F.transform(F.split("description", ";"), lambda p: F.concat(F.array(p), F.split(p, ","))))
-    own = types.select(F.col("facility_type").alias("entry"), F.explode(F.concat(F.array("facility_type"), parts)).alias("phrase"))
-    forms = [(k, f) for k, v in FACILITY_WORDS.items() for f in v.split(",")]
-    extra = spark.createDataFrame(forms, "entry string, phrase string").join(types.select(F.col("facility_type").alias("entry")), "entry", "left_semi")
-    return own.unionByName(extra)
+    return types.select(F.col("facility_type").alias("entry"), F.explode(F.concat(F.array("facility_type"), F.coalesce(parts, F.array().cast("array<string>")))).alias("phrase"))

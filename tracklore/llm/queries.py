@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklore.llm.addresses import address_pairs
-from tracklore.llm.canonical import canonicalise
+from tracklore.llm.canonical import canonicalise_records
 from tracklore.llm.domain import FACILITY_STOP, STATE_STOP, facility_entries, state_entries
 from tracklore.llm.leaks import leaked_items
 from tracklore.llm.linkage import facility_matches
@@ -23,16 +23,16 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed states and facility types with the entry that is meant, or UNMATCHED."""
     companies = table(spark, sf_dir, "companies")
     regions, types = table(spark, sf_dir, "state_regions"), table(spark, sf_dir, "facility_types")
+    code = F.explode(F.array("state_code", "state_name"))
     fields = {
-        "state": (state_entries(regions), regions.select(F.explode(F.array("state_code", "state_name")).alias("value")), STATE_STOP),
-        "facility_type": (facility_entries(types), types.select(F.col("facility_type").alias("value")), FACILITY_STOP),
+        "state": (state_entries(regions), regions.select(code.alias("value"), F.col("state_code").alias("entry")), STATE_STOP),
+        "facility_type": (facility_entries(types), types.select(F.col("facility_type").alias("value"), F.col("facility_type").alias("entry")), FACILITY_STOP),
     }
     found = None
     for field, (entries, exact, stop) in fields.items():
-        typed = companies.select("row_id", F.col(field).alias("value")).where(F.length(F.trim("value")) > 0).distinct()
-        typed = typed.join(F.broadcast(exact), "value", "left_anti")  # the lists are fixed tables of at most a hundred rows
-        mapped = canonicalise(typed, entries, stop=stop, singular=field != "state")
-        rows = typed.join(mapped, "value").select("row_id", F.lit(field).alias("field_name"), "canonical")
+        typed = companies.select("row_id", F.col("osm_way_id").alias("thing"), F.col(field).alias("value")).where(F.length(F.trim("value")) > 0)
+        mapped = canonicalise_records(typed, exact.distinct(), entries, stop=stop, singular=field != "state")
+        rows = typed.select("row_id", "value").distinct().join(mapped, "value").select("row_id", F.lit(field).alias("field_name"), "canonical")
         found = rows if found is None else found.unionByName(rows)
     return found
 
