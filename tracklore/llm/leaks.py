@@ -14,8 +14,10 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,6 +40,7 @@ RARE_ITEMS, SHARED = 3, 0.92
 #: Most characters of all test items together, the proven bound of what is broadcast.
 MOST_CHARS = 50_000_000
 
+_UNIT = itemgetter(0)
 _INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿᠎]")
 _BREAK = re.compile(r"(\w)[-‐‑]\s*\n[\s>|*]*(\w)")
 _TOKEN = re.compile(r"[^\W_]+")
@@ -88,14 +91,20 @@ class Index:
             total = sum(impact.values())
             for t, x in impact.items():
                 postings[t].append((u, x / total))
-        self.postings = dict(postings)
-        self.most = {t: max(x for _, x in p) for t, p in postings.items()}
-        self.blocks = {t: [(p[min(i + BLOCK, len(p)) - 1][0], max(x for _, x in p[i : i + BLOCK])) for i in range(0, len(p), BLOCK)] for t, p in postings.items()}
-        self.owners: dict[str, list[int]] = defaultdict(list)
+        # of each token: its units, impacts, greatest impact, and the last unit and greatest impact of each block
+        self.postings = {}
+        for t, p in postings.items():
+            units, impacts = [u for u, _ in p], [x for _, x in p]
+            starts = range(0, len(p), BLOCK)
+            self.postings[t] = (units, impacts, max(impacts), [units[min(i + BLOCK, len(p)) - 1] for i in starts], [max(impacts[i : i + BLOCK]) for i in starts])
+        self.need = [max(LEAST_OWN, math.ceil(OWN * len(own))) for own in self.own]
+        self.units_of: dict[str, list[int]] = defaultdict(list)
+        owners: dict[str, set[int]] = defaultdict(set)
         for u, own in enumerate(self.own):
             for t in own:
-                self.owners[t].append(u)
-        self.owners = dict(self.owners)
+                owners[t].add(self.item[u])
+                self.units_of[t].append(u)
+        self.owners = {t: sorted(i) for t, i in owners.items()}
 
     def _shared(self, of_items: dict[str, set[int]]) -> set[int]:
         """Units nearly all of whose weight another item has in one unit."""
@@ -112,80 +121,89 @@ class Index:
 
     def search(self, query: set[str], threshold: float = THRESHOLD) -> list[int]:
         """All units whose normalised score reaches ``threshold``: WAND with block maxima."""
-        lists = [[self.postings[t], 0, self.most[t], self.blocks[t]] for t in query if t in self.postings]
-        if sum(x[2] for x in lists) < threshold:
+        # [unit, place, units, impacts, greatest impact, last units of the blocks, their greatest impacts]
+        lists = [[p[0][0], 0, *p] for t in query if (p := self.postings.get(t)) is not None]
+        if sum(x[4] for x in lists) < threshold:
             return []
         found = []
         while lists:
-            lists.sort(key=lambda x: x[0][x[1]][0])
+            lists.sort(key=_UNIT)
             bound, pivot = 0.0, -1
             for i, x in enumerate(lists):
-                bound += x[2]
+                bound += x[4]
                 if bound >= threshold:
                     pivot = i
                     break
             if pivot < 0:
                 break
-            unit = lists[pivot][0][lists[pivot][1]][0]
-            while pivot + 1 < len(lists) and lists[pivot + 1][0][lists[pivot + 1][1]][0] == unit:
+            unit = lists[pivot][0]
+            pivot += 1
+            while pivot < len(lists) and lists[pivot][0] == unit:
                 pivot += 1
-            ahead = lists[: pivot + 1]
             # the block maxima around the pivot bound its score more closely
-            if sum(self._block(x, unit) for x in ahead) < threshold:
-                end = min(self._block_end(x, unit) for x in ahead)
-                nxt = end + 1
-                if pivot + 1 < len(lists):
-                    nxt = min(nxt, lists[pivot + 1][0][lists[pivot + 1][1]][0])
-                lists = self._advance(lists, ahead, max(nxt, unit + 1))
+            close, end = 0.0, 1 << 60
+            for x in lists[:pivot]:
+                k = bisect_left(x[5], unit)
+                if k < len(x[5]):
+                    close += x[6][k]
+                    end = min(end, x[5][k])
+            if close < threshold:
+                # no unit up to the nearest end of a block can do, nor before the next list begins
+                nxt = end + 1 if pivot == len(lists) else min(end + 1, lists[pivot][0])
+                lists = self._advance(lists, pivot, max(nxt, unit + 1))
                 continue
-            lists_at = self._advance(ahead, ahead, unit)
-            score = sum(x[0][x[1]][1] for x in lists_at if x[0][x[1]][0] == unit)
+            score = 0.0
+            for x in lists[:pivot]:
+                if x[0] < unit:
+                    x[1] = bisect_left(x[2], unit, x[1])
+                    x[0] = x[2][x[1]] if x[1] < len(x[2]) else 1 << 60
+                if x[0] == unit:
+                    score += x[3][x[1]]
             if score >= threshold:
                 found.append(unit)
-            lists = self._advance(lists_at + lists[pivot + 1 :], lists_at, unit + 1)
+            lists = self._advance(lists, pivot, unit + 1)
         return found
 
     @staticmethod
-    def _block(x: list, unit: int) -> float:
-        for last, most in x[3]:
-            if last >= unit:
-                return most
-        return 0.0
-
-    @staticmethod
-    def _block_end(x: list, unit: int) -> int:
-        for last, _ in x[3]:
-            if last >= unit:
-                return last
-        return 1 << 60
-
-    @staticmethod
-    def _advance(lists: list, moved: list, unit: int) -> list:
-        """Moves the postings of ``moved`` to the first unit not before ``unit``; ended lists go."""
-        for x in moved:
-            p, i = x[0], x[1]
-            while i < len(p) and p[i][0] < unit:
-                i += 1
-            x[1] = i
-        return [x for x in lists if x[1] < len(x[0])]
+    def _advance(lists: list, moved: int, unit: int) -> list:
+        """Skips the first ``moved`` lists to the first unit not before ``unit``; ended lists go."""
+        ended = False
+        for x in lists[:moved]:
+            if x[0] < unit:
+                i = x[1] = bisect_left(x[2], unit, x[1])
+                if i < len(x[2]):
+                    x[0] = x[2][i]
+                else:
+                    x[0], ended = 1 << 60, True
+            elif x[0] == 1 << 60:
+                ended = True
+        return [x for x in lists if x[0] < 1 << 60] if ended else lists
 
     def leaks(self, text: str) -> set[int]:
         """Items of which the text repeats at least about a sentence."""
         words = tokens(text)
-        # Only where two own tokens of a unit stand within a passage can it be verified, so
-        # only the passages around such places are asked; this loses none.
+        # A unit is verified by two own tokens and a stretch over units of an item by more,
+        # all in one passage, so only the passages around two different own tokens of an
+        # item, less than a passage apart, are asked; this loses none.
         last: dict[int, tuple[int, str]] = {}
+        before: dict[int, tuple[int, str]] = {}
         starts: set[int] = set()
         owners = self.owners
         for i, w in enumerate(words):
-            for u in owners.get(w, ()):
-                seen = last.get(u)
-                if seen is not None and seen[1] != w and i - seen[0] < PASSAGE:
+            for item in owners.get(w, ()):
+                seen = last.get(item)
+                if seen is not None and seen[1] == w:
+                    seen = before.get(item)  # the last token but this one that differs
+                elif seen is not None:
+                    before[item] = seen
+                if seen is not None and i - seen[0] < PASSAGE:
                     starts.update(range(max(0, (i - PASSAGE) // STEP * STEP + STEP), seen[0] + 1, STEP))
-                last[u] = (i, w)
+                last[item] = (i, w)
         found: set[int] = set()
         for a in sorted(starts):
             bag = Counter(words[a : a + PASSAGE])
+            if not self._possible(bag):
+                continue
             near: dict[int, list[int]] = defaultdict(list)
             for u in self.search(set(bag)):
                 if u not in self.shared and self.item[u] not in found:
@@ -193,11 +211,26 @@ class Index:
             found |= {item for item, units in near.items() if any(self._verified(u, bag) for u in units) or self._run(units, bag)}
         return found
 
+    def _possible(self, bag: Counter) -> bool:
+        """True if the passage has own tokens enough for a unit, or for a stretch over units of an item."""
+        mine: Counter = Counter()
+        theirs: Counter = Counter()
+        for t in bag:
+            for u in self.units_of.get(t, ()):
+                mine[u] += 1
+                if mine[u] >= self.need[u]:
+                    return True
+            for item in self.owners.get(t, ()):
+                theirs[item] += 1
+                if theirs[item] >= RUN_OWN:
+                    return True
+        return False
+
     def _run(self, units: list[int], bag: Counter) -> bool:
         """True for a stretch over parts of several units of an item, as long as a sentence."""
         hits = [(u, {t: min(c, bag[t]) for t, c in self.words[u].items() if bag[t]}) for u in units]
         words = sum(sum(h.values()) for _, h in hits)
-        own = sum(1 for u, h in hits for t in self.own[u] if t in h)
+        own = len({t for u, h in hits for t in self.own[u] if t in h})
         return len(units) > 1 and words >= RUN_WORDS and own >= RUN_OWN
 
     def _verified(self, u: int, bag: Counter) -> bool:
