@@ -86,8 +86,8 @@ def _keyed(p: DataFrame, side: str) -> DataFrame:
     mine, other = (5, 9) if side == "y" else (9, 5)
     one = lambda tag: [key(tag, h, at) for h in ("h0", "h1", "h2", "h3") for at in ("hz", "ht")]
     plain = [key(1, both, "hz"), key(2, both, "ht"), key(3, "hn", "hz"), key(4, "hn", "ht"), *one(other)]
-    words = ("a", "nullif(b, '')", "concat(a, nullif(b, ''))", "concat(b, nullif(a, ''))")
-    numbered = ", ".join(key(6, w if i < 3 else "concat(nullif(b, ''), a)", "hn") for i, w in enumerate(words))
+    # with a number, the hint of one word or run is rare enough
+    numbered = ", ".join(key(6, "hn", h) for h in ("h0", "h1", "h2", "h3"))
     wide = f"if(hn is null, array({', '.join(one(mine))}), array({numbered}))"
     usable = usable_position(F.col("lat"), F.col("lon"))
     p = p.withColumn("seen", usable).withColumn("ci", F.when(usable, F.floor(F.col("lat") / CELL))).withColumn("cj", F.when(usable, F.floor(F.col("lon") / CELL)))
@@ -114,7 +114,9 @@ def compare(pairs: DataFrame) -> DataFrame:
     """Agreement levels of pairs with the columns of both profiles, prefixed x_ and y_."""
     word = lambda p, q: _word(F.col(f"x_{p}"), F.col(f"y_{q}"), F.col(f"x_c{p}"), F.col(f"y_c{q}"))
     pairs = pairs.withColumns({f"{s}_c{c}": F.expr(_cons(f"{s}_{c}", 99)) for s in "xy" for c in "ab"})
-    words = pairs.withColumns({p + q: word(p, q) for p in "ab" for q in "ab"})
+    # equal names need no look at their letters
+    equal = (F.col("x_a") == F.col("y_a")) & (F.col("x_b") == F.col("y_b"))
+    words = pairs.withColumns({p + q: F.when(equal, 2 if p == q else 0).otherwise(word(p, q)) for p in "ab" for q in "ab"})
     # either form may be the run-together one, of words in either order
     orders = lambda s: (F.concat(f"{s}_a", f"{s}_b"), F.concat(f"{s}_b", f"{s}_a"))
     # the shorter the name, the fewer errors; a run of 8 letters bears three
@@ -131,9 +133,11 @@ def compare(pairs: DataFrame) -> DataFrame:
     clash = lambda c: (F.col(f"x_{c}") != "") & (F.col(f"y_{c}") != "") & (F.col(f"x_{c}") != F.col(f"y_{c}"))
     gone = lambda c: (F.col(f"x_{c}") == "") | (F.col(f"y_{c}") == "")
     digits = lambda c: F.regexp_extract(c, r"(\d+)$", 1)
-    street = _word(F.col("x_street"), F.col("y_street"))
-    street = F.when(digits("x_street") != digits("y_street"), 0).otherwise(street)
-    place = F.when(gone("number"), -1).when((street == 0) | clash("number"), 0).when(clash("kind") | clash("side"), 1).when(street == 1, 2).otherwise(3)
+    # the street matters only at the same number
+    street = F.when(F.col("x_street") == F.col("y_street"), 2).when(digits("x_street") != digits("y_street"), 0).otherwise(_word(F.col("x_street"), F.col("y_street")))
+    words = words.withColumn("street", F.when(~gone("number") & ~clash("number"), street))
+    street = F.col("street")
+    place = F.when(gone("number"), -1).when(clash("number") | (street == 0), 0).when(clash("kind") | clash("side"), 1).when(street == 1, 2).otherwise(3)
     post = F.when(gone("zip"), -1).when(~clash("zip"), 2).when(F.levenshtein("x_zip", "y_zip", 1) == 1, 1).otherwise(0)
     town = F.when(gone("town"), -1).otherwise(_word(F.col("x_town"), F.col("y_town")))
     metres = haversine(F.col("x_lat"), F.col("x_lon"), F.col("y_lat"), F.col("y_lon"))
@@ -186,13 +190,15 @@ def link(left: DataFrame, right: DataFrame) -> DataFrame:
     empty result.
     """
     sides = {s: df.where(F.col("id").isNotNull()) for s, df in (("x", left), ("y", right))}
-    generic = learn_generic(name_parts(sides["x"].select("name").unionByName(sides["y"].select("name")), "name"))
-    sides = {s: cut(profile(df, generic).distinct()) for s, df in sides.items()}
+    generic = learn_generic(name_parts(sides["x"].select("name").unionByName(sides["y"].select("name")), "name", keep=False))
+    sides = {s: cut(profile(df, generic)) for s, df in sides.items()}
     # only ids and keys meet in the join of the passes; the attributes join its distinct pairs
     # (one shuffle by x_id serves the distinct pairs and the join of the attributes)
     pairs = _keyed(sides["x"], "x").join(_keyed(sides["y"], "y"), "key").select("x_id", "y_id").repartition("x_id").distinct()
+    # repeated rows fall together in the shuffle of the join
     for s, p in sides.items():
-        pairs = pairs.join(p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)), f"{s}_id")
+        rows = p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)).repartition(f"{s}_id").distinct()
+        pairs = pairs.join(rows, f"{s}_id")
     levels = [f"g_{f}" for f in LEVELS]
     # the pattern table needs all candidates, those without a word of the name in common too
     scored = cut(compare(pairs).select("x_id", "y_id", *levels))

@@ -54,8 +54,8 @@ ROUNDS = 20
 _SIG = "name string, words array<string>, a string, b string, ca string, cb string"
 
 
-def name_parts(rows: DataFrame, col: str) -> DataFrame:
-    """Distinct values of ``col`` of a scan with their words in order: (name, words). Names without a word are left out."""
+def name_parts(rows: DataFrame, col: str, keep: bool = True) -> DataFrame:
+    """Distinct values of ``col`` of a scan with their words in order: (name, words), or only (words). Names without a word are left out."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words_of = lru_cache(100_000)(name_words)
@@ -64,7 +64,8 @@ def name_parts(rows: DataFrame, col: str) -> DataFrame:
             yield pdf[pdf["words"].map(len) > 0]
 
     typed = rows.select(F.col(col).alias("name")).where(F.length(F.trim("name")) > 0)
-    return cut(spread(typed).mapInPandas(run, "name string, words array<string>").groupBy("name").agg(F.first("words").alias("words")))
+    parts = spread(typed).mapInPandas(run, "name string, words array<string>")
+    return cut((parts if keep else parts.select("words")).distinct())
 
 
 def learn_generic(parts: DataFrame) -> Generic:
