@@ -31,7 +31,9 @@ def test_linkage_two_track_ends(spark):
 
 def test_linkage_short_names(spark):
     companies = [site(1, 1, name="Bunge LLC"), site(2, 2, name="Cargil Grain"), site(3, 3, name="Bunge Tarvemoor")]
-    assert matches(spark, companies, [site(91, None, name="BUNGE"), site(92, None, name="Cargill Inc")]) == {(1, 91), (2, 92)}
+    # what "grain" says of a firm is learnt from the other names
+    others = [site(10 + i, 10 + i, name=f"{a}{b}ton Grain", address=f"{70 + i} Elm Rd", city="Upwick", zip="30011", lat=45.0) for i, (a, b) in enumerate((a, b) for a in ("Bro", "Kel", "Mas", "Tif", "Wun") for b in ("dar", "fel", "gim", "lop", "nur"))]
+    assert matches(spark, companies + others, [site(91, None, name="BUNGE"), site(92, None, name="Cargill Inc")]) == {(1, 91), (2, 92)}
 
 
 def test_residue_filled_records(spark):
