@@ -83,8 +83,8 @@ def _near(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     A word more than two letters longer than the longest of the list is within two
     edits of none, so it is left out, however long it is.
     """
-    longest = right.agg(F.coalesce(F.max(F.length(b)), F.lit(0)).alias("n")).first()["n"]
-    left = left.where(F.length(a) <= longest + 2)
+    longest = right.agg(F.coalesce(F.max(F.length(b)), F.lit(0)).alias("longest"))
+    left = left.join(F.broadcast(longest), F.length(a) <= F.col("longest") + 2)  # one row
     x = left.select(a, F.explode(_deletions(a)).alias("d"))
     y = right.select(b, F.explode(_deletions(b)).alias("d"))
     pairs = x.join(y, "d").select(a, b).distinct()
@@ -177,5 +177,5 @@ def canonicalise_records(typed: DataFrame, exact: DataFrame, entries: DataFrame,
     open_ = cut(first.join(learnt, "phrase", "left").where((F.col("canonical") == UNMATCHED) | (F.col("other") != F.col("canonical"))))
     phrases = open_.where("other is not null").select(F.col("other").alias("entry"), "phrase").distinct()
     again = canonicalise(open_.select("value"), entries.unionByName(phrases), stop=stop, singular=singular)
-    again = again.select("value", F.col("canonical").alias("again"))
+    again = cut(again.select("value", F.col("canonical").alias("again")))  # keeps the plans of the callers short
     return first.join(again, "value", "left").select("value", F.coalesce("again", "canonical").alias("canonical"))
