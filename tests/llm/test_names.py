@@ -39,3 +39,19 @@ def test_all_words_tell_firms_apart(spark):
 def test_channel_is_estimated():
     often, seldom = names.fit_channel([(0, 1, False, -2.0, 5000.0), (0, 0, False, -2.0, 5000.0)]), names.fit_channel([(0, 0, False, -2.0, 10000.0), (0, 1, False, -2.0, 10.0)])
     assert often[0][1] < seldom[0][1] and names.fit_channel([]) == (names.START, names.MERGED)
+
+
+def test_parts_of_the_keys_give_the_same_classes(spark, monkeypatch):
+    rnd = random.Random(9)
+    words, rows = invented(rnd, 60), []
+    for k in range(0, 60, 2):
+        for j, name in enumerate((f"{words[k]} {words[k + 1]}", f"{words[k]} {words[k + 1]}", f"{words[k][:-1]} {words[k + 1]}", f"{words[k + 1]}{words[k]}", f"{words[k]} {words[k + 1]} {words[(k + 7) % 60]}")):
+            rows.append((5 * k + j, 10 * k + j, name))
+    df = spark.createDataFrame([*rows, *rows[:9]], SPEC)
+    got = []
+    for parts in (1, 3):
+        monkeypatch.setattr(names, "KEY_PARTS", parts)
+        got.append({tuple(r) for r in names.name_classes(df, "row_id", "company_name").collect()})
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    entity = {i: e for i, _, e in got[0]}
+    assert all(entity[5 * k] == entity[5 * k + j] for k in range(0, 60, 2) for j in (1, 2, 3))
