@@ -30,3 +30,11 @@ def test_drop_removes_one_table(spark):
     session.drop(a)
     assert len(session._tables) == held - 1 and of_a not in [t.removeprefix("file://") for t in session._tables] and b.count() == 20
     session.drop(spark.range(3))
+
+
+def test_long_rows_are_cut_without_one_long_method(spark):
+    keys = (session._CLEANUP, session._METHOD)
+    before = [spark.conf.get(k) for k in keys]
+    rows = spark.range(50).select(*(F.when(F.col("id") % k == 0, F.col("id") * k).otherwise(k).alias(f"c{k}") for k in range(1, 40)))
+    assert sorted(map(tuple, session.cut(rows, long=True).collect())) == sorted(map(tuple, rows.collect()))
+    assert [spark.conf.get(k) for k in keys] == before

@@ -101,12 +101,13 @@ def _keyed(p: DataFrame, side: str) -> DataFrame:
 
 
 def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = None) -> Column:
-    """2 the same word, 1 explained by errors or a short form, 0 different."""
+    """2 the same word, 1 explained by errors or a short form, 0 different; letters are looked at last, and once."""
     short = F.least(F.length(p), F.length(q))
-    lev = F.levenshtein(p, q, 3)
-    close = ((lev > 0) & (lev * 2 <= short - 1 + F.when(short >= 5, 1).otherwise(0))) | ((short >= 3) & (F.startswith(p, q) | F.startswith(q, p)))
+    close = (short >= 3) & (F.startswith(p, q) | F.startswith(q, p))
     if cp is not None:
-        close = close | ((short >= 3) & (F.levenshtein(cp, cq, 1) >= 0) & ((cp == p) | (cq == q)))
+        close = close | ((short >= 3) & ((cp == p) | (cq == q)) & (F.levenshtein(cp, cq, 1) >= 0))
+    # -1 stands for more than three errors, and becomes more than any word bears
+    close = close | (F.pmod(F.levenshtein(p, q, 3), F.lit(1 << 20)) * 2 <= short - 1 + F.when(short >= 5, 1).otherwise(0))
     return F.when(p == q, 2).when(close, 1).otherwise(0)
 
 
@@ -116,7 +117,14 @@ def compare(pairs: DataFrame) -> DataFrame:
     pairs = pairs.withColumns({f"{s}_c{c}": F.expr(_cons(f"{s}_{c}", 99)) for s in "xy" for c in "ab"})
     # equal names need no look at their letters
     equal = (F.col("x_a") == F.col("y_a")) & (F.col("x_b") == F.col("y_b"))
-    words = pairs.withColumns({p + q: F.when(equal, 2 if p == q else 0).otherwise(word(p, q)) for p in "ab" for q in "ab"})
+    # errors in one word count only if the other one agrees, and words at the other's place only if those at
+    # their own do not: without that it is enough whether they are the same
+    same = lambda p, q: F.when(F.col(f"x_{p}") == F.col(f"y_{q}"), 2).otherwise(0)
+    words = pairs.withColumn("aa", F.when(equal, 2).otherwise(word("a", "a")))
+    words = words.withColumn("bb", F.when(equal, 2).when(F.col("aa") > 0, word("b", "b")).otherwise(same("b", "b")))
+    straight = (F.col("aa") > 0) & (F.col("bb") > 0)
+    words = words.withColumn("ab", F.when(equal, 0).when(straight, same("a", "b")).otherwise(word("a", "b")))
+    words = words.withColumn("ba", F.when(equal, 0).when(straight | (F.col("ab") == 0), same("b", "a")).otherwise(word("b", "a")))
     # either form may be the run-together one, of words in either order
     orders = lambda s: (F.concat(f"{s}_a", f"{s}_b"), F.concat(f"{s}_b", f"{s}_a"))
     # the shorter the name, the fewer errors; a run of 8 letters bears three
@@ -192,16 +200,16 @@ def link(left: DataFrame, right: DataFrame) -> DataFrame:
     sides = {s: df.where(F.col("id").isNotNull()) for s, df in (("x", left), ("y", right))}
     generic = learn_generic(name_parts(sides["x"].select("name").unionByName(sides["y"].select("name")), "name", keep=False))
     sides = {s: cut(profile(df, generic)) for s, df in sides.items()}
-    # only ids and keys meet in the join of the passes; the attributes join its distinct pairs
-    # (one shuffle by x_id serves the distinct pairs and the join of the attributes)
-    pairs = _keyed(sides["x"], "x").join(_keyed(sides["y"], "y"), "key").select("x_id", "y_id").repartition("x_id").distinct()
+    # only ids and keys meet in the join of the passes; the attributes join its distinct pairs, when the
+    # shuffle files of the keys are gone
+    pairs = cut(_keyed(sides["x"], "x").join(_keyed(sides["y"], "y"), "key").select("x_id", "y_id").repartition("x_id").distinct())
     # repeated rows fall together in the shuffle of the join
     for s, p in sides.items():
         rows = p.select(*(F.col(c).alias(f"{s}_{c}") for c in p.columns)).repartition(f"{s}_id").distinct()
         pairs = pairs.join(rows, f"{s}_id")
     levels = [f"g_{f}" for f in LEVELS]
     # the pattern table needs all candidates, those without a word of the name in common too
-    scored = cut(compare(pairs).select("x_id", "y_id", *levels))
+    scored = cut(compare(pairs).select("x_id", "y_id", *levels), long=True)
     counts = scored.groupBy(*levels).agg(F.count(F.lit(1)).alias("n")).collect()  # at most the product of the levels
     patterns = sorted((tuple(int(r[c]) for c in levels), int(r["n"])) for r in counts)
     share, m, u = fit(patterns)
