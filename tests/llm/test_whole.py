@@ -40,3 +40,24 @@ def test_residue_filled_records(spark):
     texts = ["Dear {{name}}, thank you for listing your spur.", "Dear Anna, thank you for listing your spur.", "Dear Bob, thank you for listing your spur. Cars come daily.", "The letter uses {shipper} as a merge field at Doon.", "The letter uses {shipper} as a merge field at Zed."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0}
+
+
+def test_residue_fixed_pages_in_a_growing_corpus(spark):
+    # a page without variable parts has few distinct texts, however often it comes; texts of content that show it do not end
+    page, content = "Sample text for layout only.", "The weighmaster keeps the lead locked."
+    letters = "abcdefghijklmnop"
+    body = lambda w, x: "\n".join(f"{w}{x}{c} cars stood at the {x}{w}{c} dock." for c in letters)
+    words = [f"w{p}{q}" for p in letters[:8] for q in letters[:8]]
+    texts = [page] * 60 + [f"{page} {page}"] * 60 + [content] * 6 + [f"{page}\n{body(w, 'k')}" for w in words[:40]] + [f"{content}\n{body(w, 'm')}" for w in words]
+    found = []
+    for times in (1, 3):  # copies of all texts alike make nothing surer
+        docs = spark.createDataFrame([(i + 1000 * k, x) for k in range(times) for i, x in enumerate(texts)], "doc_id long, text string")
+        found.append({r.doc_id for r in residue.residue_evidence(docs).collect()})
+    shown = set(range(120)) | set(range(126, 166))
+    assert found == [shown, shown | {i + 1000 for i in shown} | {i + 2000 for i in shown}]
+
+
+def test_residue_default_within_a_sentence(spark):
+    texts = ["Replace this text with the site summary ships Doon through Zed and welcomes new tenants.", "{{ firm }} ships %s through Zed and welcomes new tenants.", "Doon Mills ships barley through Zed and welcomes new tenants."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0, 1}
