@@ -1,6 +1,6 @@
 """Cases that the operators once left out."""
 
-from tracklore.llm import linkage, residue
+from tracklore.llm import canonical, linkage, queries, residue
 
 SPEC = "id long, facility long, name string, address string, city string, state string, zip string, lat double, lon double"
 BASE = {"name": "Tarvemoor & Belkilesk Steel Inc", "address": "459 W Ramfodale St", "city": "Doonton", "state": "NC", "zip": "23346", "lat": 35.0, "lon": -80.0}
@@ -58,6 +58,36 @@ def test_residue_fixed_pages_in_a_growing_corpus(spark):
 
 
 def test_residue_default_within_a_sentence(spark):
-    texts = ["Replace this text with the site summary ships Doon through Zed and welcomes new tenants.", "{{ firm }} ships %s through Zed and welcomes new tenants.", "Doon Mills ships barley through Zed and welcomes new tenants."]
+    texts = [*(f"Replace this text with the site summary ships {x} through Zed and welcomes new tenants." for x in ("Doon", "Upwick")), "{{ firm }} ships Quay through Zed and welcomes new tenants."]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0, 1}
+    assert {r.doc_id for r in residue.residue_evidence(docs).collect()} == {0, 1, 2}
+
+
+def test_canonical_fields_go_through_together(spark):
+    lists = [("a", "grain elevator", "grain elevator"), ("b", "grain elevator", "G"), ("b", "elevators", "E"), ("c", None, "x")]
+    exact = spark.createDataFrame(lists[:3], "field string, value string, entry string")
+    entries = spark.createDataFrame([(f, e, p) for f, p, e in lists], "field string, entry string, phrase string")
+    typed = [("a", "grain elevtor"), ("a", "elevators"), ("a", "grain"), ("b", "grain elevtor"), ("b", "elevator"), ("b", "elevators"), ("c", "grain elevator"), ("c", " "), ("a", None)]
+    things = [(f, i, v) for i in range(4) for f, v in (("b", "elevators"), ("b", "corn tower"), ("a", "corn tower"))]
+    df = spark.createDataFrame([*((f, None, v) for f, v in typed), *things], "field string, thing long, value string")
+    rules = {"a": (["grain"], True), "b": ([], False), "c": ([], True)}
+    got = {(r.field, r.value): r.canonical for r in canonical.canonicalise_fields(df, exact, entries, rules).collect()}
+    each = {}
+    for f, (stop, singular) in rules.items():
+        one = canonical.canonicalise_records(df.where(df.field == f).drop("field"), exact.where(exact.field == f).drop("field"), entries.where(entries.field == f).drop("field"), stop=stop, singular=singular)
+        each |= {(f, r.value): r.canonical for r in one.collect()}
+    assert got == each and got[("b", "corn tower")] == "E" and got[("a", "elevators")] == "grain elevator" and got[("c", "grain elevator")] == "UNMATCHED"
+
+
+def test_canonical_plans_do_not_grow_with_the_fields(spark, tmp_path):
+    fields = ("state", "facility_type")
+    spark.createDataFrame([(i, i, "Texs", "feed mil") for i in range(4)], "row_id long, osm_way_id long, state string, facility_type string").write.parquet(f"{tmp_path}/companies.parquet")
+    spark.createDataFrame([("TX", "Texas")], "state_code string, state_name string").write.parquet(f"{tmp_path}/state_regions.parquet")
+    spark.createDataFrame([("feed mill", "mill that blends feed")], "facility_type string, description string").write.parquet(f"{tmp_path}/facility_types.parquet")
+    made = []
+    before, canonical.cut = canonical.cut, lambda df, *a: made.append(1) or before(df, *a)
+    try:
+        got = {tuple(r) for r in queries.p1_found(spark, str(tmp_path)).collect()}
+    finally:
+        canonical.cut = before
+    assert got == {(i, f, c) for i in range(4) for f, c in zip(fields, ("TX", "feed mill"), strict=True)} and len(made) <= 11
