@@ -138,17 +138,17 @@ def _ranked(values: DataFrame, entries: DataFrame, rules: Rules, least: float =
     v = bagged(v, "value", {f: ([*stop, *BLANKS], singular) for f, (stop, singular) in rules.items()})
     v = cut(v)
     p = bagged(entries.where(F.col("phrase").isNotNull()).distinct(), "phrase", rules).where(F.size("tokens") > 0)
-    p = cut(p.groupBy("field", "entry", "whole").agg(F.first("tokens").alias("tokens")).withColumn("pid", F.xxhash64("field", "entry", "whole")))
+    p = cut(p.groupBy("field", "entry", "whole").agg(F.first("tokens").alias("tokens")).withColumn("pid", F.xxhash64("field", "entry", "whole")), many=True)
     in_list = p.select("field", "entry", "pid", F.explode("tokens").alias("word"))
     sizes = {r["field"]: r["n"] for r in p.groupBy("field").agg(F.count_distinct("entry").alias("n")).collect()}  # one row a field
     n_entries = F.coalesce(*(F.when(F.col("field") == f, n) for f, n in sizes.items()), F.lit(1))
     idf = in_list.groupBy("field", "word").agg(F.log1p(n_entries / F.count_distinct("entry")).alias("idf"))
-    idf = cut(idf)
+    idf = cut(idf, many=True)
     in_list = in_list.join(idf, ["field", "word"])
     norms = in_list.groupBy("pid").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
 
     tokens = v.select("field", "value", F.explode("tokens").alias("token"))
-    repaired = cut(repair(tokens.select("field", "token").distinct(), idf.select("field", "word")).join(idf, ["field", "word"]))
+    repaired = cut(repair(tokens.select("field", "token").distinct(), idf.select("field", "word")).join(idf, ["field", "word"]), many=True)
     best_idf = repaired.groupBy("field", "token").agg(F.max_by("idf", "sim").alias("tidf"))
     weighed = tokens.join(best_idf, ["field", "token"], "left").withColumn("tidf", F.coalesce("tidf", F.log1p(n_entries)))
     vnorm = weighed.groupBy("field", "value").agg(F.sqrt(F.sum(F.col("tidf") * F.col("tidf"))).alias("vnorm"))
@@ -203,10 +203,10 @@ def canonicalise_fields(typed: DataFrame, exact: DataFrame, entries: DataFrame,
     beside another entry, are ranked again with the learnt phrases in the list.
     """
     values = typed.select("field", "value").where(F.length(F.trim("value")) > 0).distinct().join(F.broadcast(exact.select("field", "value")), ["field", "value"], "left_anti")
-    first = cut(_ranked(values, entries, rules).select("field", "value", "canonical").withColumn("phrase", folded(F.col("value"))))
+    first = cut(_ranked(values, entries, rules).select("field", "value", "canonical").withColumn("phrase", folded(F.col("value"))), many=True)  # distinct values only
     learnt = learn_phrases(typed, exact).withColumnRenamed("entry", "other")
     open_ = cut(first.join(learnt, ["field", "phrase"], "left").where((F.col("canonical") == UNMATCHED) | (F.col("other") != F.col("canonical"))))
     phrases = open_.where("other is not null").select("field", F.col("other").alias("entry"), "phrase").distinct()
     again = _ranked(open_.select("field", "value"), entries.unionByName(phrases), rules)
-    again = cut(again.select("field", "value", F.col("canonical").alias("again")))  # keeps the plans of the callers short
+    again = cut(again.select("field", "value", F.col("canonical").alias("again")), many=True)  # keeps the plans of the callers short
     return first.join(again, ["field", "value"], "left").select("field", "value", F.coalesce("again", "canonical").alias("canonical"))
