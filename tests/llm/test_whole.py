@@ -85,7 +85,7 @@ def test_canonical_plans_do_not_grow_with_the_fields(spark, tmp_path):
     spark.createDataFrame([("TX", "Texas")], "state_code string, state_name string").write.parquet(f"{tmp_path}/state_regions.parquet")
     spark.createDataFrame([("feed mill", "mill that blends feed")], "facility_type string, description string").write.parquet(f"{tmp_path}/facility_types.parquet")
     made = []
-    before, canonical.cut = canonical.cut, lambda df, *a: made.append(1) or before(df, *a)
+    before, canonical.cut = canonical.cut, lambda df, **k: made.append(1) or before(df, **k)
     try:
         got = {tuple(r) for r in queries.p1_found(spark, str(tmp_path)).collect()}
     finally:
