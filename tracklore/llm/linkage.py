@@ -32,6 +32,9 @@ NEAR_M, FAR_M = 1_500.0, 6_000.0
 #: Degrees of the cells in which places without any address look for their neighbours.
 CELL = 0.05
 
+#: A word that is its consonants (``_cons`` of 99).
+_BARE = "^.[^aeiou]{0,98}$"
+
 _SPEC = "id long, a string, b string, rest string, number string, street string, kind string, side string, zip string, town string, lat double, lon double"
 
 
@@ -43,18 +46,16 @@ def profile(rows: DataFrame, generic: Generic) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # names, addresses, towns and codes come again and again
+        # towns and codes come again and again, names and addresses hardly within a part of the table
         town_in, zip_in = lru_cache(100_000)(town_of), lru_cache(100_000)(zip_of)
-        name_in = lru_cache(100_000)(lambda n: signature(proper_words(name_words(n), generic)))
-        address_in = lru_cache(100_000)(parse_address)
         nothing: dict = {}
         for pdf in batches:
             out = []
             for i, name, address, city, state, post, lat, lon in zip(*(pdf[c].tolist() for c in ("id", "name", "address", "city", "state", "zip", "lat", "lon")), strict=True):
-                a, b, rest = name_in(name)
+                a, b, rest = signature(proper_words(name_words(name), generic))
                 if not a:
                     continue
-                p = address_in(address) or nothing
+                p = parse_address(address) or nothing
                 town = p.get("town", "") or town_in(city)
                 out.append((i, a, b, rest, p.get("number", ""), p.get("name", ""), p.get("kind", ""), p.get("side", ""), p.get("zip", "") or zip_in(post) or zip_in(state), town, lat, lon))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _SPEC.split(", ")])
@@ -80,32 +81,39 @@ def _keyed(p: DataFrame, side: str) -> DataFrame:
     hints = {f"h{i}": f"nullif({_cons(c, 3)}, '')" for i, c in enumerate(("a", "b", "concat(a, b)", "concat(b, a)"))}
     p = p.withColumns({k: F.expr(v) for k, v in hints.items()} | {"ht": F.expr(f"nullif({_cons('town', 3)}, '')"), "hz": F.expr("nullif(zip, '')"), "hn": F.expr("nullif(number, '')")})
     p = p.withColumns({"h2": F.expr("nullif(nullif(h2, h0), h1)"), "h3": F.expr("nullif(nullif(h3, h0), h1)"), "h1": F.expr("nullif(h1, h0)")})
-    # a hash skips nulls, so the parts are asked for first
-    key = lambda tag, *parts: f"if({' and '.join(f'{x} is not null' for x in parts)}, xxhash64({tag}, {', '.join(parts)}), null)"
-    both = "concat(least(h0, coalesce(h1, if(b = '', '', h0))), '|', greatest(h0, coalesce(h1, if(b = '', '', h0))))"
+    usable = usable_position(F.col("lat"), F.col("lon"))
+    p = p.withColumn("seen", usable).withColumn("ci", F.when(usable, F.floor(F.col("lat") / CELL))).withColumn("cj", F.when(usable, F.floor(F.col("lon") / CELL)))
+    # a hash skips nulls, so they are kept apart; parts of different kinds have hashes of their own, and a key is
+    # the sum without carry of the hashes of its pass and parts, null if one is: so little code is compiled whole
+    hashed = lambda kind, *x: f"if({' or '.join(f'{v} is null' for v in x)}, null, xxhash64('{kind}', {', '.join(x)}))"
+    p = p.withColumns({"both": F.expr("concat(least(h0, coalesce(h1, if(b = '', '', h0))), '|', greatest(h0, coalesce(h1, if(b = '', '', h0))))"), "e0": F.expr("left(a, 2)"), "e1": F.expr("nullif(nullif(left(b, 2), ''), left(a, 2))")})
+    kinds = {"h0": "h", "h1": "h", "h2": "h", "h3": "h", "e0": "e", "e1": "e", "ht": "t", "hz": "z", "hn": "n", "both": "both"}
+    hashes = {c: F.expr(hashed(k, c)) for c, k in kinds.items()} | {"cell": F.expr(hashed("cell", "ci", "cj"))}
+    loose = "seen and (number = '' and (zip = '' or town = '') or zip = '' and town = '')"
+    p = p.select("id", "ci", "cj", *(v.alias(c) for c, v in hashes.items()), F.expr("hn is null").alias("unnumbered"), F.expr(loose).alias("loose"))
+    key = lambda tag, *parts: " ^ ".join((f"xxhash64({tag})", *parts))
     mine, other = (5, 9) if side == "y" else (9, 5)
     one = lambda tag: [key(tag, h, at) for h in ("h0", "h1", "h2", "h3") for at in ("hz", "ht")]
-    plain = [key(1, both, "hz"), key(2, both, "ht"), key(3, "hn", "hz"), key(4, "hn", "ht"), *one(other)]
+    around, here = (7, 8) if side == "y" else (8, 7)
+    plain = [key(1, "both", "hz"), key(2, "both", "ht"), key(3, "hn", "hz"), key(4, "hn", "ht"), *one(other), *(key(here, "cell", e) for e in ("e0", "e1"))]
     # with a number, the hint of one word or run is rare enough
     numbered = ", ".join(key(6, "hn", h) for h in ("h0", "h1", "h2", "h3"))
-    wide = f"if(hn is null, array({', '.join(one(mine))}), array({numbered}))"
-    usable = usable_position(F.col("lat"), F.col("lon"))
-    p = p.withColumn("seen", usable).withColumn("ci", F.when(usable, F.floor(F.col("lat") / CELL))).withColumn("cj", F.when(usable, F.floor(F.col("lon") / CELL)))
-    around, here = (7, 8) if side == "y" else (8, 7)
-    heads = ("left(a, 2)", "nullif(nullif(left(b, 2), ''), left(a, 2))")
-    plain += [key(here, "ci", "cj", h) for h in heads]
-    loose = "seen and (number = '' and (zip = '' or town = '') or zip = '' and town = '')"
-    grid = ", ".join(key(around, f"ci + {i}", f"cj + {j}", h) for i in (-1, 0, 1) for j in (-1, 0, 1) for h in heads)
-    keys = F.expr(f"concat(array({', '.join(plain)}), {wide}, if({loose}, array({grid}), cast(array() as array<bigint>)))")
+    wide = f"if(unnumbered, array({', '.join(one(mine))}), array({numbered}))"
+    grid = ", ".join(key(around, hashed("cell", f"ci + {i}", f"cj + {j}"), e) for i in (-1, 0, 1) for j in (-1, 0, 1) for e in ("e0", "e1"))
+    keys = F.expr(f"concat(array({', '.join(plain)}), {wide}, if(loose, array({grid}), cast(array() as array<bigint>)))")
     return p.select(F.col("id").alias(f"{side}_id"), F.explode(keys).alias("key")).where("key is not null")
 
 
-def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = None) -> Column:
-    """2 the same word, 1 explained by errors or a short form, 0 different; letters are looked at last, and once."""
+def _word(p: Column, q: Column, bare: tuple[Column, Column] | None = None) -> Column:
+    """2 the same word, 1 explained by errors or a short form, 0 different; letters are looked at last, and once.
+
+    ``bare`` are the consonants of both, which count where a word is without vowels.
+    """
     short = F.least(F.length(p), F.length(q))
     close = (short >= 3) & (F.startswith(p, q) | F.startswith(q, p))
-    if cp is not None:
-        close = close | ((short >= 3) & ((cp == p) | (cq == q)) & (F.levenshtein(cp, cq, 1) >= 0))
+    if bare:
+        # seen at the first vowel, while the consonants of both are made for few pairs
+        close = close | ((short >= 3) & (F.rlike(p, F.lit(_BARE)) | F.rlike(q, F.lit(_BARE))) & (F.levenshtein(*bare, 1) >= 0))
     # -1 stands for more than three errors, and becomes more than any word bears
     close = close | (F.pmod(F.levenshtein(p, q, 3), F.lit(1 << 20)) * 2 <= short - 1 + F.when(short >= 5, 1).otherwise(0))
     return F.when(p == q, 2).when(close, 1).otherwise(0)
@@ -113,8 +121,21 @@ def _word(p: Column, q: Column, cp: Column | None = None, cq: Column | None = No
 
 def compare(pairs: DataFrame) -> DataFrame:
     """Agreement levels of pairs with the columns of both profiles, prefixed x_ and y_."""
-    word = lambda p, q: _word(F.col(f"x_{p}"), F.col(f"y_{q}"), F.col(f"x_c{p}"), F.col(f"y_c{q}"))
-    pairs = pairs.withColumns({f"{s}_c{c}": F.expr(_cons(f"{s}_{c}", 99)) for s in "xy" for c in "ab"})
+    clash = lambda c: (F.col(f"x_{c}") != "") & (F.col(f"y_{c}") != "") & (F.col(f"x_{c}") != F.col(f"y_{c}"))
+    gone = lambda c: (F.col(f"x_{c}") == "") | (F.col(f"y_{c}") == "")
+    digits = lambda c: F.regexp_extract(c, r"(\d+)$", 1)
+    # the street matters only at the same number: different, of another type or direction, alike, or the same
+    street = F.when(F.col("x_street") == F.col("y_street"), 2).when(digits("x_street") != digits("y_street"), 0).otherwise(_word(F.col("x_street"), F.col("y_street")))
+    turn = clash("kind") | clash("side")
+    place = F.when(gone("number"), -1).when(clash("number"), 0).otherwise(F.get(F.array(F.lit(0), *(F.when(turn, 1).otherwise(n) for n in (2, 3))), street))
+    post = F.when(gone("zip"), -1).when(~clash("zip"), 2).when(F.levenshtein("x_zip", "y_zip", 1) == 1, 1).otherwise(0)
+    town = F.when(gone("town"), -1).otherwise(_word(F.col("x_town"), F.col("y_town")))
+    seen = usable_position(F.col("x_lat"), F.col("x_lon")) & usable_position(F.col("y_lat"), F.col("y_lon"))
+    metres = F.when(seen, haversine(F.col("x_lat"), F.col("x_lon"), F.col("y_lat"), F.col("y_lon")))
+    # the place first, so that the steps to the level of the name carry the names alone
+    parts = [f"{s}_{c}" for c in ("a", "b", "rest") for s in "xy"]
+    pairs = pairs.select("x_id", "y_id", *parts, place.alias("g_street"), post.alias("g_zip"), town.alias("g_town"), metres.alias("metres"))
+    word = lambda p, q: _word(F.col(f"x_{p}"), F.col(f"y_{q}"), (F.expr(_cons(f"x_{p}", 99)), F.expr(_cons(f"y_{q}", 99))))
     # equal names need no look at their letters
     equal = (F.col("x_a") == F.col("y_a")) & (F.col("x_b") == F.col("y_b"))
     # errors in one word count only if the other one agrees, and words at the other's place only if those at
@@ -138,20 +159,8 @@ def compare(pairs: DataFrame) -> DataFrame:
     # words beside the two longest: left out on one side they are an error, different ones another firm
     rest = F.when(F.col("x_rest") == F.col("y_rest"), 3).when((F.col("x_rest") == "") | (F.col("y_rest") == ""), 2).when(_word(F.col("x_rest"), F.col("y_rest")) > 0, 2).otherwise(1)
     name = F.least(name, rest)
-    clash = lambda c: (F.col(f"x_{c}") != "") & (F.col(f"y_{c}") != "") & (F.col(f"x_{c}") != F.col(f"y_{c}"))
-    gone = lambda c: (F.col(f"x_{c}") == "") | (F.col(f"y_{c}") == "")
-    digits = lambda c: F.regexp_extract(c, r"(\d+)$", 1)
-    # the street matters only at the same number
-    street = F.when(F.col("x_street") == F.col("y_street"), 2).when(digits("x_street") != digits("y_street"), 0).otherwise(_word(F.col("x_street"), F.col("y_street")))
-    words = words.withColumn("street", F.when(~gone("number") & ~clash("number"), street))
-    street = F.col("street")
-    place = F.when(gone("number"), -1).when(clash("number") | (street == 0), 0).when(clash("kind") | clash("side"), 1).when(street == 1, 2).otherwise(3)
-    post = F.when(gone("zip"), -1).when(~clash("zip"), 2).when(F.levenshtein("x_zip", "y_zip", 1) == 1, 1).otherwise(0)
-    town = F.when(gone("town"), -1).otherwise(_word(F.col("x_town"), F.col("y_town")))
-    metres = haversine(F.col("x_lat"), F.col("x_lon"), F.col("y_lat"), F.col("y_lon"))
-    seen = usable_position(F.col("x_lat"), F.col("x_lon")) & usable_position(F.col("y_lat"), F.col("y_lon"))
-    near = F.when(~seen, -1).when(metres <= NEAR_M, 2).when(metres <= FAR_M, 1).otherwise(0)
-    return words.withColumns({"g_name": name, "g_street": place, "g_zip": post, "g_town": town, "g_near": near})
+    near = F.when(F.col("metres").isNull(), -1).when(F.col("metres") <= NEAR_M, 2).when(F.col("metres") <= FAR_M, 1).otherwise(0)
+    return words.select("x_id", "y_id", name.alias("g_name"), "g_street", "g_zip", "g_town", near.alias("g_near"))
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, dict, dict]:

@@ -88,6 +88,26 @@ def point_of_wkb(wkb: Column) -> Column:
     return F.when(le & (F.length(h) == 42), point(True)).when(h.startswith("0000000001") & (F.length(h) == 42), point(False))
 
 
+def with_point(df: DataFrame, wkb: str) -> DataFrame:
+    """``df`` with ``point_lat`` and ``point_lon`` of ``point_of_wkb``, in steps each short enough for the JVM to compile."""
+    h, axes = F.col("point_hex"), {"lat": 27, "lon": 11}
+    swapped = lambda at: F.concat(*(F.substring(h, at + i, 2) for i in range(14, -1, -2)))
+    whole = F.length(h) == 42
+    digits = lambda at: F.when(h.startswith("0101000000") & whole, swapped(at)).when(h.startswith("0000000001") & whole, F.substring(h, at, 16))
+    part = lambda c, at, n: F.conv(F.substring(f"point_{c}", at, n), 16, 10)
+    own = df.columns
+    df = df.withColumn("point_hex", F.hex(wkb)).withColumns({f"point_{c}": digits(at) for c, at in axes.items()})
+    df = df.withColumns({f"top_{c}": part(c, 1, 3).cast("int") for c in axes} | {f"frac_{c}": part(c, 4, 13).cast("double") for c in axes})
+    df = df.withColumns({f"exp_{c}": F.col(f"top_{c}") % 2048 for c in axes})
+
+    def value(c: str) -> Column:
+        frac, e = F.col(f"frac_{c}"), F.col(f"exp_{c}")
+        size = F.when(e == 0, frac * F.lit(2.0**-1074)).otherwise((1 + frac / 2.0**52) * F.pow(F.lit(2.0), (e - 1023).cast("double")))
+        return F.when(F.col(f"top_{c}") >= 2048, -1.0).otherwise(1.0) * size
+
+    return df.select(*own, *(value(c).alias(f"point_{c}") for c in axes))
+
+
 def overture_places(raw: DataFrame, box: tuple[float, float, float, float] | None = None) -> DataFrame:
     """Flat usable places: the first address, the position of the box or else of the geometry."""
     df = raw.where(bbox_filter(F.col("bbox"), *box)) if box else raw
